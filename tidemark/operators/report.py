@@ -9,12 +9,12 @@ combined on the map side.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts
+from tidemark.operators.joins import null_safe_join
 from tidemark.operators.ordering import rank_groups
 
 
@@ -109,6 +109,4 @@ def merge_stats(df: DataFrame, keys: Sequence[str], stats: dict[str, Column]) ->
     measured size allows and otherwise splits hot keys of a sort-merge join.
     """
     grouped = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in stats.items()])
-    grouped = grouped.withColumnsRenamed({k: f"_{k}" for k in keys})
-    matched = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return df.join(grouped, matched, "left").drop(*[f"_{k}" for k in keys])
+    return null_safe_join(df, grouped, keys, "left")
