@@ -90,9 +90,15 @@ def rolling_alerts(
 
     longs = T.ArrayType(T.LongType())
     block_field = T.StructField("_block", T.LongType())
-    breaches = settle(
-        rates.where((F.col("window_rows") == n) & (F.col("error_rate") > threshold))
-    )
+    breaches = rates.where((F.col("window_rows") == n) & (F.col("error_rate") > threshold))
+    if last_alerts is not None:
+        # A carried alert only silences the breaches within its cool-down.
+        waits = last_alerts.select(*keys, (F.col("rn") + cooldown).alias("_free"))
+        breaches = (
+            null_safe_join(breaches, waits, keys, "left") if keys
+            else breaches.withColumn("_free", waits.agg(F.max("_free")).scalar())
+        ).where(F.col("_free").isNull() | (F.col("rn") >= F.col("_free")))
+    breaches = settle(breaches.select(*rates.columns))
     places = breaches.select(*keys, F.floor(F.col("rn") / block_rows).alias("_block"), "rn")
 
     def hand_on(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -102,8 +108,7 @@ def rolling_alerts(
 
     def enter(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_block")
-        free = pdf["_free"].iloc[0]
-        free, entered = 0 if pd.isna(free) else int(free), []
+        free, entered = 0, []
         for block, starts, exits in zip(pdf["_block"], pdf["starts"], pdf["exits"]):
             state = max(0, free - block * block_rows)
             entered.append(state)
@@ -123,14 +128,6 @@ def rolling_alerts(
     steps = places.groupBy(*by_block).applyInPandas(
         hand_on, shape(block_field, T.StructField("starts", longs), T.StructField("exits", longs))
     )
-    if last_alerts is None:
-        steps = steps.withColumn("_free", F.lit(None).cast("bigint"))
-    else:
-        waits = last_alerts.select(*keys, (F.col("rn") + cooldown).cast("bigint").alias("_free"))
-        steps = (
-            null_safe_join(steps, waits, keys, "left") if keys
-            else steps.withColumn("_free", waits.agg(F.max("_free")).scalar())
-        )
     # One short row per block of a key, block_rows times fewer than positions.
     entries = steps.groupBy(*(keys or [F.lit(0).alias("_all")])).applyInPandas(
         enter, shape(block_field, T.StructField("entry", T.LongType()))

@@ -27,8 +27,8 @@ def stream_log_by(stream: DataFrame, key: str, size: str) -> DataFrame:
 
 
 def stream_hourly(stream: DataFrame, ts: str = "timestamp", delay: str = "10 minutes") -> DataFrame:
-    """Rows per hour; an hour is emitted once the watermark has passed it, and rows
-    later than ``delay`` are dropped."""
+    """Rows per hour. An hour is emitted once the watermark, ``delay`` behind the newest
+    row, has passed it; rows that come after that are dropped."""
     hours = _timed(stream, ts, delay).groupBy(F.window("_time", "1 hour").alias("w"))
     return hours.agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "n")
 
