@@ -74,7 +74,7 @@ def test_set_where_leaves_other_rows_alone(raw):
 ])
 def test_bracketed_quantiles_are_exact(spark, monkeypatch, values):
     monkeypatch.setattr(quantiles, "_ACCURACY", 100)
-    monkeypatch.setattr(quantiles, "_FEW_ROWS", 0 if len(values) > 1 else 10)
+    monkeypatch.setattr(quantiles, "_FEW_VALUES", 0 if len(values) > 1 else 10)
     df = spark.createDataFrame([(float(v), float(-v)) for v in values] + [(None, None)], "a DOUBLE, b DOUBLE")
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 1.0]
     got = quantiles.exact_quantiles(df, ["a", "b"], probs)

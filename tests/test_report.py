@@ -13,7 +13,8 @@ def totals(spark):
     data = [("Food", 1049, 1981805190.0), ("Beauty", 1012, 3001031054.0), ("Electronics", 995, 2524390519.0),
             ("Home", 977, 1973037045.0), ("Fashion", 967, 2657507846.0)]
     return spark.createDataFrame(data, "category STRING, orders LONG, total DOUBLE").select(
-        "*", F.col("orders").alias("priced"), (F.col("orders") * 150000.4).alias("price_sum"))
+        "category", "orders", F.col("orders").alias("priced"),
+        (F.col("orders") * 150000.4 * 100).alias("price_units"), (F.col("total") * 10_000).alias("total_units"))
 
 
 def test_report_order_and_bars(totals):

@@ -10,7 +10,7 @@ from tidemark.sources import models, readers, sinks
 
 
 def test_csv_keeps_korean_text_and_reads_blank_as_null(spark, tmp_path):
-    df = spark.createDataFrame([("가", 1, None), ("나,다", 2, 3.5)], "이름 STRING, n INT, x DOUBLE")
+    df = spark.createDataFrame([("가", 1, None), ("나,다", 2, 3.5)], "`이름` STRING, n INT, x DOUBLE")
     path = str(tmp_path / "csv")
     sinks.write_csv(df, path, one_file=True)
     files = glob.glob(path + "/*.csv")

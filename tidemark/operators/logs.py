@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.money import exact_sum
+
 
 def server_error(status: str = "status") -> Column:
     """True for a 5xx status."""
@@ -57,30 +59,34 @@ def hourly_traffic(logs: DataFrame, ts: str = "timestamp") -> DataFrame:
     return logs.groupBy(hour).agg(F.count("*").alias("n"))
 
 
-def amount_by_type(events: DataFrame, amount: str = "amount", above: float = 0) -> DataFrame:
-    """Count, sum and mean of the amounts above a floor, per event type."""
+def amount_by_type(events: DataFrame, amount: str = "amount", above: float = 0, places: int = 2) -> DataFrame:
+    """Count, sum and mean of the amounts above a floor, per event type.
+
+    Amounts have up to ``places`` decimals. The floor reaches the Parquet scan.
+    """
     return (
         events.where(F.col(amount) > above)
         .groupBy("event_type")
-        .agg(F.count("*").alias("n"), F.sum(amount).alias("total"))
-        .withColumn("mean", F.col("total").cast("double") / F.col("n"))
+        .agg(F.count("*").alias("n"), exact_sum(amount, places).alias("total"))
+        .withColumn("mean", F.col("total") / F.col("n"))
     )
 
 
 AMOUNT_BY_TYPE_SQL = """
-    SELECT event_type, count(*) AS n, sum({amount}) AS total,
-           cast(sum({amount}) AS double) / count(*) AS mean
+    SELECT event_type, count(*) AS n, sum(rint({amount} * {unit})) / {unit} AS total,
+           sum(rint({amount} * {unit})) / {unit} / count(*) AS mean
     FROM {events}
     WHERE {amount} > {above}
     GROUP BY event_type
 """
 
 
-def amount_by_type_sql(events: DataFrame, amount: str = "amount", above: float = 0) -> DataFrame:
+def amount_by_type_sql(
+    events: DataFrame, amount: str = "amount", above: float = 0, places: int = 2
+) -> DataFrame:
     """``amount_by_type`` written in SQL."""
-    return events.sparkSession.sql(
-        AMOUNT_BY_TYPE_SQL.format(events="{events}", amount=amount, above=above), events=events
-    )
+    text = AMOUNT_BY_TYPE_SQL.format(events="{events}", amount=amount, above=above, unit=10**places)
+    return events.sparkSession.sql(text, events=events)
 
 
 def differing_rows(left: DataFrame, right: DataFrame) -> DataFrame:

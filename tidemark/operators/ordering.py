@@ -57,7 +57,12 @@ def rank_groups(groups: DataFrame, order_by: Sequence[Column], name: str = "rank
     ranked in one task, many are ranked by range partition.
     """
     kept = settle(groups)
-    if kept.count() <= FEW_GROUPS:
+    return rank_settled(kept, kept.count(), order_by, name)
+
+
+def rank_settled(kept: DataFrame, rows: int, order_by: Sequence[Column], name: str = "rank") -> DataFrame:
+    """``rank_groups`` of a settled table of ``rows`` rows. The result is in rank order."""
+    if rows <= FEW_GROUPS:
         return kept.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
     return number_rows(kept, order_by, name)
 

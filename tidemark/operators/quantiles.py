@@ -1,6 +1,6 @@
 """Exact quantiles without sorting or shuffling a whole column.
 
-A sketch brackets each quantile between two values that are sure to enclose it;
+A column of few distinct values is counted value by value. For others a sketch brackets each quantile between two values that are sure to enclose it;
 a second pass counts the rows below the bracket and keeps only the values inside
 it (about 4 rows in 10,000), which are then put in order. The brackets are
 literals in that pass, so Parquet can skip row groups outside them.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.ordering import running_totals
 
 _ACCURACY = 10_000  # rank error of the sketch is at most rows / _ACCURACY
-_FEW_ROWS = 10 * _ACCURACY  # up to here one exact aggregate buffer holds the column
+_FEW_VALUES = 10 * _ACCURACY  # up to so many distinct values fit one exact aggregate buffer
 
 
 def exact_quantiles(
@@ -28,26 +28,29 @@ def exact_quantiles(
     Like ``DataFrame.approxQuantile`` the answer is a few plain numbers, one per
     column and probability; unlike it they are exact.
     """
+    probs = [float(p) for p in probs]
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    size = values.agg(*[
+        F.struct(F.count(c).alias("n"), F.approx_count_distinct(c).alias("distinct")).alias(c) for c in columns
+    ]).first()
+    few = {c for c in columns if min(size[c]["n"], size[c]["distinct"]) <= _FEW_VALUES}
     margin = 2.0 / _ACCURACY
     cuts = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
-    sketch = values.agg(*[
-        F.struct(F.count(c).alias("n"), F.percentile_approx(c, cuts, _ACCURACY).alias("cuts")).alias(c)
+    first = values.agg(*[
+        (F.percentile(c, probs) if c in few else F.percentile_approx(c, cuts, _ACCURACY)).alias(c)
         for c in columns
     ]).first()
-    few = [c for c in columns if sketch[c]["n"] <= _FEW_ROWS]
-    answer: dict[str, list[float | None]] = {}
-    if few:
-        row = values.agg(*[F.percentile(c, [float(p) for p in probs]).alias(c) for c in few]).first()
-        answer = {c: list(row[c] or [None] * len(probs)) for c in few}
-    many = {c: sketch[c] for c in columns if c not in answer}
+    answer: dict[str, list[float | None]] = {c: list(first[c] or [None] * len(probs)) for c in few}
+    many = {c: (size[c]["n"], first[c]) for c in columns if c not in few}
     if many:
         answer |= _bracketed(values, many, probs)
     return {c: answer[c] for c in columns}
 
 
-def _bracketed(values: DataFrame, sketch: dict, probs: Sequence[float]) -> dict[str, list[float]]:
-    slots = [(c, i, s["cuts"][2 * i], s["cuts"][2 * i + 1]) for c, s in sketch.items() for i in range(len(probs))]
+def _bracketed(
+    values: DataFrame, sketch: dict[str, tuple[int, list[float]]], probs: Sequence[float]
+) -> dict[str, list[float]]:
+    slots = [(c, i, cuts[2 * i], cuts[2 * i + 1]) for c, (_, cuts) in sketch.items() for i in range(len(probs))]
     below = values.agg(*[F.count_if(F.col(c) < low).alias(f"{c}:{i}") for c, i, low, _ in slots]).first()
 
     within = [F.col(c).between(low, high) for c, _, low, high in slots]
@@ -71,7 +74,7 @@ def _bracketed(values: DataFrame, sketch: dict, probs: Sequence[float]) -> dict[
 
     places, wanted = {}, F.lit(False)
     for slot, (c, i, _, _) in enumerate(slots):
-        at = probs[i] * (sketch[c]["n"] - 1)
+        at = probs[i] * (sketch[c][0] - 1)
         ends = [starts[slot] + int(rank) - below[f"{c}:{i}"] for rank in (math.floor(at), math.ceil(at))]
         places[slot] = (at, ends)
         for rank in set(ends):

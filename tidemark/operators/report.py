@@ -14,29 +14,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts
+from tidemark.functions.money import units
+from tidemark.functions.session import settle
 from tidemark.operators.joins import null_safe_join
-from tidemark.operators.ordering import rank_groups
+from tidemark.operators.ordering import rank_settled
+
+
+# Prices have up to two decimals and discounts are whole percents.
+PRICE_PLACES, AMOUNT_PLACES = 2, 4
 
 
 def revenue(quantity="quantity", price="unit_price", discount="discount") -> Column:
-    """Quantity x price after discount. Exact, whatever the order of the partial
-    sums, when price and discount are DECIMAL."""
+    """Quantity x price after discount."""
     return F.col(quantity) * F.col(price) * (1 - F.col(discount))
 
 
 def fold_sales(sales: DataFrame, *by: str) -> DataFrame:
-    """Mergeable sales totals per ``by``."""
+    """Mergeable sales totals per ``by``; sums are in whole units of money."""
     return sales.groupBy(*by).agg(
         F.count("*").alias("orders"),
         F.count("unit_price").alias("priced"),
-        F.sum("unit_price").alias("price_sum"),
-        F.sum(revenue()).alias("total"),
+        F.sum(units("unit_price", PRICE_PLACES)).alias("price_units"),
+        F.sum(units(revenue(), AMOUNT_PLACES)).alias("total_units"),
     )
 
 
 def merge_sales(folded: DataFrame, *by: str) -> DataFrame:
     """Totals of totals."""
-    return folded.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("orders", "priced", "price_sum", "total")])
+    return folded.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in ("orders", "priced", "price_units", "total_units")]
+    )
 
 
 def sales_report(totals: DataFrame, group_by: str) -> DataFrame:
@@ -44,16 +51,17 @@ def sales_report(totals: DataFrame, group_by: str) -> DataFrame:
 
     ``totals`` comes from ``fold_sales`` or ``merge_sales``.
     """
-    ranked = rank_groups(totals, [F.col("total").desc(), F.col(group_by)])
-    largest = ranked.agg(F.max("total")).scalar()
+    kept = settle(totals)
+    size = kept.agg(F.count("*").alias("groups"), F.max("total_units").alias("largest")).first()
+    ranked = rank_settled(kept, size["groups"], [F.col("total_units").desc(), F.col(group_by)])
     return ranked.select(
         "rank",
         F.col(group_by).alias("group"),
         F.col("orders").alias("count"),
-        (F.col("price_sum").cast("double") / F.nullif(F.col("priced"), F.lit(0))).alias("avg_price"),
-        F.col("total").cast("double").alias("total"),
-        F.round(F.col("total").cast("double") / largest.cast("double") * 100, 1).alias("share_pct"),
-    ).orderBy("rank")
+        (F.col("price_units") / 10**PRICE_PLACES / F.nullif(F.col("priced"), F.lit(0))).alias("avg_price"),
+        (F.col("total_units") / 10**AMOUNT_PLACES).alias("total"),
+        F.round(F.col("total_units") / F.lit(size["largest"]) * 100, 1).alias("share_pct"),
+    )
 
 
 def report_rows(report: DataFrame) -> DataFrame:
@@ -64,14 +72,14 @@ def report_rows(report: DataFrame) -> DataFrame:
         F.format_number("avg_price", 0).alias("avg_price"),
         F.format_number("total", 0).alias("total"),
         F.format_string("%.1f%%", "share_pct").alias("bar"),
-    ).orderBy("rank")
+    )
 
 
 def sales_kpis(totals: DataFrame, group_by: str) -> DataFrame:
     """Total, order count, mean per order, number of groups and best group, as one row."""
-    best_first = F.struct(-F.col("total"), F.col(group_by))
+    best_first = F.struct(-F.col("total_units"), F.col(group_by))
     return totals.agg(
-        F.sum("total").cast("double").alias("grand_total"),
+        (F.sum("total_units") / 10**AMOUNT_PLACES).alias("grand_total"),
         F.sum("orders").alias("orders"),
         F.count("*").alias("groups"),
         F.min_by(group_by, best_first).alias("top_group"),
@@ -99,7 +107,7 @@ def pivot_revenue(folded: DataFrame, row: str, column: str, values: Sequence[str
 
     The values are listed so that Spark need not read the data twice.
     """
-    return folded.groupBy(row).pivot(column, list(values)).agg(F.sum("total").cast("double"))
+    return folded.groupBy(row).pivot(column, list(values)).agg(F.sum("total_units") / 10**AMOUNT_PLACES)
 
 
 def merge_stats(df: DataFrame, keys: Sequence[str], stats: dict[str, Column]) -> DataFrame:

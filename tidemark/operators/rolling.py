@@ -19,7 +19,7 @@ from tidemark.functions.session import settle
 from tidemark.operators.joins import null_safe_join
 from tidemark.operators.ordering import number_rows
 
-CHUNK_ROWS = 1 << 20  # rows per window task
+CHUNK_ROWS = 1 << 16  # rows per window task
 BLOCK_ROWS = 1 << 22  # positions per cool-down task; only breaching rows are in it
 
 
@@ -44,22 +44,31 @@ def rolling_error_rate(
     slim = df.select(*columns, F.coalesce(error, F.lit(False)).alias("is_error"))
     numbered = number_rows(slim, [F.col(c) for c in [*keys, *order_by]])
 
-    chunk = F.floor((F.col("rn") - 1) / chunk_rows)
+    chunk = _div(F.col("rn") - 1, chunk_rows)
     late = (F.col("rn") - 1) % chunk_rows >= chunk_rows - (n - 1)
     spread = numbered.withColumn("_own", chunk).withColumn(
         "_chunk",
         F.explode(F.when(late, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))),
     )
-    last_n = Window.partitionBy("_chunk", *keys).orderBy("rn").rowsBetween(-(n - 1), 0)
+    # Differences of running counts cost the same for any n; a sliding frame would
+    # add up all n rows again for each row.
+    in_order = Window.partitionBy("_chunk", *keys).orderBy("rn")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        spread.withColumn("window_rows", F.count("*").over(last_n))
-        .withColumn("window_errors", F.sum(F.col("is_error").cast("bigint")).over(last_n))
+        spread.withColumn("_errors", F.sum(F.col("is_error").cast("bigint")).over(so_far))
+        .withColumn("window_rows", F.least(F.row_number().over(in_order), F.lit(n)).cast("bigint"))
+        .withColumn("window_errors", F.col("_errors") - F.lag("_errors", n, 0).over(in_order))
         .where(F.col("_chunk") == F.col("_own"))
-        .drop("_chunk", "_own")
+        .drop("_chunk", "_own", "_errors")
         .withColumn("error_rate", F.col("window_errors") / F.col("window_rows"))
     )
 
 
+def _div(position: Column, size: int) -> Column:
+    """Whole-number division of positions."""
+    return ((position - position % size) / size).cast("bigint")
+
+
 def rolling_alerts(
     rates: DataFrame,
     n: int = 300,
@@ -99,7 +108,7 @@ def rolling_alerts(
             else breaches.withColumn("_free", waits.agg(F.max("_free")).scalar())
         ).where(F.col("_free").isNull() | (F.col("rn") >= F.col("_free")))
     breaches = settle(breaches.select(*rates.columns))
-    places = breaches.select(*keys, F.floor(F.col("rn") / block_rows).alias("_block"), "rn")
+    places = breaches.select(*keys, _div(F.col("rn"), block_rows).alias("_block"), "rn")
 
     def hand_on(pdf: pd.DataFrame) -> pd.DataFrame:
         start = int(pdf["_block"].iloc[0]) * block_rows
@@ -178,8 +187,8 @@ def alert_snapshot(
     """
     # Positions are unique over all keys, so a window is fixed by its last position;
     # the keys only keep out rows of the key before.
-    bucket = F.floor((F.col("rn") - 1) / n)
-    first_bucket = F.greatest(F.floor((F.col("rn") - n) / n), F.lit(0))
+    bucket = _div(F.col("rn") - 1, n)
+    first_bucket = _div(F.greatest(F.col("rn") - n, F.lit(0)), n)
     windows = alerts.select(
         *keys, F.col("rn").alias("alert_rn"),
         F.explode(F.sequence(first_bucket, bucket)).alias("_bucket"),

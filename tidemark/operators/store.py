@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,7 +66,8 @@ def _rules(limits: AlertLimits) -> list[tuple[str, str, Column, Column, Column]]
 
 def product_alerts(metrics: DataFrame, limits: AlertLimits = AlertLimits()) -> DataFrame:
     """One row per rule a product meets; a product may raise several. Narrow, no shuffle."""
-    raised = F.array_compact(F.array(*[
+    rules = _rules(limits)
+    raised = F.array(*[
         F.when(condition, F.struct(
             F.concat(F.lit(f"{prefix}-"), "product_id").alias("alert_id"),
             F.lit(level).alias("level"),
@@ -73,9 +75,15 @@ def product_alerts(metrics: DataFrame, limits: AlertLimits = AlertLimits()) -> D
             reason.alias("reason"),
             action.alias("action"),
         ))
-        for prefix, level, condition, reason, action in _rules(limits)
-    ]))
-    return metrics.select(F.explode(raised).alias("alert")).select("alert.*")
+        for prefix, level, condition, reason, action in rules
+    ])
+    some = reduce(lambda a, b: a | b, [condition for _, _, condition, _, _ in rules])
+    return (
+        metrics.where(some)
+        .select(F.explode(raised).alias("alert"))
+        .where(F.col("alert").isNotNull())
+        .select("alert.*")
+    )
 
 
 def data_alerts(invalid: DataFrame) -> DataFrame:

@@ -19,9 +19,8 @@ _RAW = """
                           ELSE l_quantity END AS integer) AS varchar) AS quantity,
            CASE WHEN l_discount = 0.04 THEN ''
                 WHEN l_tax = 0.03 AND l_discount = 0.02
-                THEN cast(-cast(l_extendedprice AS decimal(12,2)) AS varchar)
-                ELSE cast(cast(l_extendedprice AS decimal(12,2)) AS varchar) END AS unit_price,
-           cast(cast(l_discount AS decimal(4,2)) AS varchar) AS discount
+                THEN cast(-l_extendedprice AS varchar) ELSE cast(l_extendedprice AS varchar) END AS unit_price,
+           cast(l_discount AS varchar) AS discount
     FROM lineitem"""
 _TYPED = f"""
     SELECT nullif(trim(order_id), '') AS order_id, try_cast(order_date AS date) AS order_date,

@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.money import exact_sum
 from tidemark.operators import logs, profile, report
 from tidemark.plans.registry import query
 from tidemark.plans.tables import (
-    MONEY, Tables, is_error, priced_events, sales_by_region, sales_by_type, sales_lines,
+    Tables, is_error, priced_events, sales_by_region, sales_by_type, sales_lines,
 )
 
 _AMOUNT = """cast(l_quantity AS integer) * cast(l_extendedprice AS decimal(12,2))
@@ -92,7 +93,7 @@ def pivot_revenue(t: Tables) -> DataFrame:
 def merge_stats(t: Tables) -> DataFrame:
     stats = {
         "priority_orders": F.count("*"),
-        "priority_mean": F.sum(F.col("o_totalprice").cast(MONEY)).cast("double") / F.count("*"),
+        "priority_mean": exact_sum("o_totalprice", 2) / F.count("*"),
     }
     return report.merge_stats(
         t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice"), ["o_orderpriority"], stats
@@ -107,14 +108,13 @@ def log_summary(t: Tables) -> DataFrame:
 
 
 LOG_BY_TYPE = """
-    SELECT event_type, count(*) AS n, cast(sum(cast(value AS decimal(12,2))) AS double) AS total_size
+    SELECT event_type, count(*) AS n, cast(sum(cast(value AS decimal(12,2))) * 100 AS bigint) AS total_size
     FROM events GROUP BY 1"""
 
 
 @query("log_by_type", LOG_BY_TYPE)
 def log_by_type(t: Tables) -> DataFrame:
-    return logs.log_by(priced_events(t.events), "event_type", "amount").withColumn(
-        "total_size", F.col("total_size").cast("double"))
+    return logs.log_by(priced_events(t.events), "event_type", "cents")
 
 
 @query("status_classes", """
@@ -126,12 +126,10 @@ def status_classes(t: Tables) -> DataFrame:
 
 
 @query("partial_then_final", """
-    SELECT user_id, count(*) AS n, cast(sum(cast(value AS decimal(12,2))) AS double) AS total,
-           min(value) AS smallest, max(value) AS largest
-    FROM events GROUP BY 1""")
+    SELECT user_id, count(*) AS n, cast(sum(cents) AS bigint) AS total, min(cents) AS smallest, max(cents) AS largest
+    FROM (SELECT user_id, cast(cast(value AS decimal(12,2)) * 100 AS bigint) AS cents FROM events) GROUP BY 1""")
 def partial_then_final(t: Tables) -> DataFrame:
-    return logs.partial_then_final(priced_events(t.events), "user_id", "amount", ["event_id"]).select(
-        "user_id", "n", *[F.col(c).cast("double").alias(c) for c in ("total", "smallest", "largest")])
+    return logs.partial_then_final(priced_events(t.events), "user_id", "cents", ["event_id"])
 
 
 @query("hourly_traffic", "SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1")
@@ -148,14 +146,13 @@ _AMOUNT_BY_TYPE = """
 
 @query("amount_by_type", _AMOUNT_BY_TYPE.format(extra=""))
 def amount_by_type(t: Tables) -> DataFrame:
-    return logs.amount_by_type(priced_events(t.events), above=100).withColumn(
-        "total", F.col("total").cast("double"))
+    return logs.amount_by_type(t.events, "value", above=100)
 
 
 @query("parity", _AMOUNT_BY_TYPE.format(extra=", 0 AS differing_rows"))
 def parity(t: Tables) -> DataFrame:
-    return logs.parity(priced_events(t.events), above=100).withColumns({
-        "total": F.col("total").cast("double"), "differing_rows": F.col("differing_rows").cast("int")})
+    return logs.parity(t.events, "value", above=100).withColumn(
+        "differing_rows", F.col("differing_rows").cast("int"))
 
 
 @query("profile", " UNION ALL ".join(f"""

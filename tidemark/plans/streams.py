@@ -29,8 +29,8 @@ def stream_log_summary(t: Tables) -> DataFrame:
 @query("stream_log_by_type", LOG_BY_TYPE)
 def stream_log_by_type(t: Tables) -> DataFrame:
     path = fresh_dir(t.spark, "bytype")
-    finish(refresh_to(logs.stream_log_by(priced_events(_events(t)), "event_type", "amount"), path))
-    return latest(t.spark, path).withColumn("total_size", F.col("total_size").cast("double"))
+    finish(refresh_to(logs.stream_log_by(priced_events(_events(t)), "event_type", "cents"), path))
+    return latest(t.spark, path)
 
 
 @query("stream_hourly", """

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.money import exact_sum, units
 from tidemark.operators.report import fold_sales, merge_sales
 
-MONEY = "decimal(12,2)"
-SHARE = "decimal(4,2)"
-
 
 class Tables:
     """``t.lineitem`` reads ``<folder>/lineitem.parquet``."""
@@ -28,12 +26,12 @@ class Tables:
 
 
 def sales_lines(lineitem: DataFrame, *keep: str) -> DataFrame:
-    """Lines as sales: whole quantities, exact prices and discounts."""
+    """Lines as sales."""
     return lineitem.select(
         *keep,
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast(MONEY).alias("unit_price"),
-        F.col("l_discount").cast(SHARE).alias("discount"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("unit_price"),
+        F.col("l_discount").alias("discount"),
     )
 
 
@@ -60,14 +58,14 @@ def is_error() -> Column:
 
 
 def priced_events(events: DataFrame) -> DataFrame:
-    """Events whose value is an exact amount."""
-    return events.withColumn("amount", F.col("value").cast(MONEY))
+    """Events with their value in whole cents."""
+    return events.withColumn("cents", units("value", 2).cast("bigint"))
 
 
 def raw_sales(t: Tables) -> DataFrame:
     """Lines as an untidy text feed: blank regions and prices, unparsable dates,
     negative prices and huge quantities, each following from the line's own values."""
-    price, tax, discount = F.col("l_extendedprice").cast(MONEY), F.col("l_tax"), F.col("l_discount")
+    price, tax, discount = F.col("l_extendedprice"), F.col("l_tax"), F.col("l_discount")
     return t.lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
         F.when((F.col("l_linestatus") == "F") & (tax == 0.08), "n/a")
@@ -79,7 +77,7 @@ def raw_sales(t: Tables) -> DataFrame:
         F.when(discount == 0.04, "")
         .when((tax == 0.03) & (discount == 0.02), (-price).cast("string"))
         .otherwise(price.cast("string")).alias("unit_price"),
-        discount.cast(SHARE).cast("string").alias("discount"),
+        discount.cast("string").alias("discount"),
     )
 
 
@@ -174,7 +172,7 @@ def churn_customers(t: Tables) -> DataFrame:
     """Customers with features from their orders and whether they stopped ordering."""
     per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"),
-        F.sum(F.col("o_totalprice").cast(MONEY)).cast("double").alias("spent"),
+        exact_sum("o_totalprice", 2).alias("spent"),
         F.count_distinct("o_orderpriority").alias("services"),
         F.max("o_orderpriority").alias("payment"), F.min("o_orderstatus").alias("contract"),
     )
