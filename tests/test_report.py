@@ -43,7 +43,7 @@ def test_many_groups_are_ranked_by_partition(spark, monkeypatch):
 
 def test_running_totals(spark):
     values = random.Random(4).sample(range(10_000), 400)
-    df = spark.createDataFrame([(v, v % 7) for v in values], "v INT, w INT")
+    df = spark.createDataFrame([(v, v % 7) for v in values], "v INT, w LONG")
     got = dict(rows(ordering.running_totals(df, [F.col("v")], ["w"]), "v", "w_before"))
     total = 0
     for v in sorted(values):
