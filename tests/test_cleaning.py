@@ -82,6 +82,15 @@ def test_bracketed_quantiles_are_exact(spark, monkeypatch, values):
     assert got["b"] == pytest.approx(np.quantile(-values, probs))
 
 
+def test_small_brackets_are_ordered_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "_ACCURACY", 100)
+    monkeypatch.setattr(quantiles, "_FEW_VALUES", 1000)
+    values = np.random.default_rng(1).normal(size=4000)
+    df = spark.createDataFrame([(float(v),) for v in values], "a DOUBLE")
+    probs = [0.1, 0.5, 0.9]
+    assert quantiles.exact_quantiles(df, ["a"], probs)["a"] == pytest.approx(np.quantile(values, probs))
+
+
 def test_quantiles_of_an_empty_column(spark):
     df = spark.createDataFrame([(None,)], "a DOUBLE")
     assert quantiles.exact_quantiles(df, ["a"], [0.5]) == {"a": [None]}

@@ -87,7 +87,7 @@ def test_handing_on_agrees_with_walking():
         cooldown = rng.randint(1, 12)
         block = rng.randint(cooldown, 40)
         places = np.array(sorted(rng.sample(range(block), rng.randint(1, block))))
-        starts, exits = rolling._transfer(places, cooldown, block)
+        starts, exits = rolling._transfer(places, places, cooldown, block)
         for state in range(cooldown + 1):
             free = state
             for p in places:

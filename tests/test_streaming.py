@@ -101,3 +101,16 @@ def test_a_batch_without_failures_has_no_dead_letters(spark, tmp_path):
     _write(spark, tmp_path / "in", [(1, 0)], ITEMS)
     finish(ingest.ingest(_stream(spark, tmp_path / "in", ITEMS), _parse, str(tmp_path / "out")))
     assert ingest.dead_letters(spark, str(tmp_path / "out")).count() == 0
+
+
+def test_a_replayed_batch_leaves_nothing_of_its_first_run(spark, tmp_path):
+    _write(spark, tmp_path / "in", [(i, i % 5) for i in range(10)], ITEMS)
+    path = str(tmp_path / "out")
+    stream = spark.readStream.schema(ITEMS).parquet(str(tmp_path / "in"))
+    finish(ingest.ingest(stream, lambda df, attempt: df.withColumn("ok", F.lit(False)), path))
+    assert ingest.dead_letters(spark, path).count() == 10
+    # The same batch again, as after a crash before its commit: progress is lost, outputs are not.
+    (tmp_path / "out" / "progress").rename(tmp_path / "old_progress")
+    finish(ingest.ingest(stream, lambda df, attempt: df.withColumn("ok", F.lit(True)), path))
+    assert ingest.dead_letters(spark, path).count() == 0
+    assert sorted(r[0] for r in rows(ingest.ingested(spark, path), "item")) == list(range(10))

@@ -40,3 +40,11 @@ def settle(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to a Parquet table in the shared folder and read back: for
+    several passes over a few columns of a costly input."""
+    path = fresh_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

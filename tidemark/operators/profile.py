@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from tidemark.operators.quantiles import exact_quantiles
 
 
-def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, gaps, mean, deviation, extremes and quartiles, one row per numeric column."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+def profile(df: DataFrame, columns: Sequence[str], plain_table: bool = False) -> DataFrame:
+    """Count, gaps, mean, deviation, extremes and quartiles, one row per numeric column.
+
+    ``plain_table`` is that of ``exact_quantiles``.
+    """
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], plain_table)
     moments = df.agg(*[
         F.struct(
             F.count(c).alias("n"), F.count_if(F.col(c).isNull()).alias("missing"),

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.session import stored
 from tidemark.operators.ordering import running_totals
 
 _ACCURACY = 10_000  # rank error of the sketch is at most rows / _ACCURACY
@@ -21,15 +23,19 @@ _FEW_VALUES = 10 * _ACCURACY  # up to so many distinct values fit one exact aggr
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], plain_table: bool = False
 ) -> dict[str, list[float | None]]:
     """Interpolated quantiles per column, in the order of ``probs``.
 
     Like ``DataFrame.approxQuantile`` the answer is a few plain numbers, one per
-    column and probability; unlike it they are exact.
+    column and probability; unlike it they are exact. The columns are read up to four
+    times, so they are first written out by themselves, unless ``plain_table`` says
+    that ``df`` is a columnar table already.
     """
     probs = [float(p) for p in probs]
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    if not plain_table:
+        values = stored(values)
     size = values.agg(*[
         F.struct(F.count(c).alias("n"), F.approx_count_distinct(c).alias("distinct")).alias(c) for c in columns
     ]).first()
@@ -51,31 +57,38 @@ def _bracketed(
     values: DataFrame, sketch: dict[str, tuple[int, list[float]]], probs: Sequence[float]
 ) -> dict[str, list[float]]:
     slots = [(c, i, cuts[2 * i], cuts[2 * i + 1]) for c, (_, cuts) in sketch.items() for i in range(len(probs))]
-    below = values.agg(*[F.count_if(F.col(c) < low).alias(f"{c}:{i}") for c, i, low, _ in slots]).first()
-
     within = [F.col(c).between(low, high) for c, _, low, high in slots]
-    any_within = within[0]
-    for condition in within[1:]:
-        any_within = any_within | condition
+    counted = values.agg(
+        *[F.count_if(F.col(c) < low).alias(f"below:{c}:{i}") for c, i, low, _ in slots],
+        *[F.count_if(w).alias(f"within:{c}:{i}") for (c, i, _, _), w in zip(slots, within)],
+    ).first()
+    below = {(c, i): counted[f"below:{c}:{i}"] for c, i, _, _ in slots}
     hits = F.array(*[
-        F.when(condition, F.struct(F.lit(slot).alias("slot"), F.col(c).alias("value")))
-        for slot, ((c, _, _, _), condition) in enumerate(zip(slots, within))
+        F.when(w, F.struct(F.lit(slot).alias("slot"), F.col(c).alias("value")))
+        for slot, ((c, _, _, _), w) in enumerate(zip(slots, within))
     ])
     inside = (
-        values.where(any_within)
+        values.where(reduce(lambda x, y: x | y, within))
         .select(F.explode(hits).alias("h"))
         .where(F.col("h").isNotNull())
         .select("h.*")
         .groupBy("slot", "value")
         .agg(F.count("*").alias("n"))
     )
-    placed = running_totals(inside, [F.col("slot"), F.col("value")], ["n"])
-    starts = {r["slot"]: r["start"] for r in placed.groupBy("slot").agg(F.min("n_before").alias("start")).collect()}
+    if max(counted[f"within:{c}:{i}"] for c, i, _, _ in slots) <= _FEW_VALUES:
+        # Small by measure: one task may order a bracket.
+        earlier = Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        placed = inside.withColumn("n_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        starts = dict.fromkeys(range(len(slots)), 0)
+    else:
+        placed = running_totals(inside, [F.col("slot"), F.col("value")], ["n"])
+        first = placed.groupBy("slot").agg(F.min("n_before").alias("start"))
+        starts = {r["slot"]: r["start"] for r in first.collect()}
 
     places, wanted = {}, F.lit(False)
     for slot, (c, i, _, _) in enumerate(slots):
         at = probs[i] * (sketch[c][0] - 1)
-        ends = [starts[slot] + int(rank) - below[f"{c}:{i}"] for rank in (math.floor(at), math.ceil(at))]
+        ends = [starts[slot] + int(rank) - below[c, i] for rank in (math.floor(at), math.ceil(at))]
         places[slot] = (at, ends)
         for rank in set(ends):
             holds = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))

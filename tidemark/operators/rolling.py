@@ -13,7 +13,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from tidemark.functions.session import settle
 from tidemark.operators.joins import null_safe_join
@@ -82,23 +82,16 @@ def rolling_alerts(
     is above ``threshold`` and the key's last alert is at least ``cooldown`` rows back.
 
     Which rows alert depends on the alert before, row by row. To run it in parallel,
-    each block of positions is summarised by what it hands on for every state it may
-    be entered in; entering states are then passed from block to block (one short row
-    each), and the blocks are walked again, now knowing theirs.
+    positions are cut into blocks. Each block is summarised by what it hands on for
+    every state it may be entered in, the states are passed from block to block (one
+    short row each), and the blocks are walked again, now knowing theirs. A block may
+    hold many keys or a part of one, so neither tiny nor huge keys cost extra.
 
     ``last_alerts`` (keys and ``rn``) carries the state of an earlier run.
     """
     if block_rows < cooldown:
         raise ValueError("block_rows must be at least cooldown")
     keys = list(keys)
-    by_block = [*keys, "_block"]
-    key_fields = [rates.schema[k] for k in keys]
-
-    def shape(*extra: T.StructField) -> T.StructType:
-        return T.StructType([*key_fields, *extra])
-
-    longs = T.ArrayType(T.LongType())
-    block_field = T.StructField("_block", T.LongType())
     breaches = rates.where((F.col("window_rows") == n) & (F.col("error_rate") > threshold))
     if last_alerts is not None:
         # A carried alert only silences the breaches within its cool-down.
@@ -108,56 +101,64 @@ def rolling_alerts(
             else breaches.withColumn("_free", waits.agg(F.max("_free")).scalar())
         ).where(F.col("_free").isNull() | (F.col("rn") >= F.col("_free")))
     breaches = settle(breaches.select(*rates.columns))
-    places = breaches.select(*keys, _div(F.col("rn"), block_rows).alias("_block"), "rn")
+    places = breaches.select(
+        _div(F.col("rn"), block_rows).alias("block"), "rn",
+        F.to_json(F.struct(*keys)).alias("key") if keys else F.lit("").alias("key"),
+    )
 
     def hand_on(pdf: pd.DataFrame) -> pd.DataFrame:
-        start = int(pdf["_block"].iloc[0]) * block_rows
-        starts, exits = _transfer(np.sort(pdf["rn"].to_numpy()) - start, cooldown, block_rows)
-        return pdf.head(1)[by_block].assign(starts=[starts], exits=[exits])
+        pdf = pdf.sort_values("rn")
+        offsets = pdf["rn"].to_numpy() - pdf["block"].iloc[0] * block_rows
+        starts, exits = _transfer(offsets, _apart(pdf, offsets, cooldown), cooldown, block_rows)
+        return pdf.head(1)[["block"]].assign(
+            first_key=pdf["key"].iloc[0], last_key=pdf["key"].iloc[-1], starts=[starts], exits=[exits])
 
     def enter(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_block")
-        free, entered = 0, []
-        for block, starts, exits in zip(pdf["_block"], pdf["starts"], pdf["exits"]):
-            state = max(0, free - block * block_rows)
+        pdf = pdf.sort_values("block")
+        key, free, entered = None, 0, []
+        for row in pdf.itertuples():
+            state = max(0, free - row.block * block_rows) if row.first_key == key else 0
             entered.append(state)
-            free = (block + 1) * block_rows + int(exits[np.searchsorted(starts, state)])
-        return pdf[by_block].assign(entry=entered)
+            free = (row.block + 1) * block_rows + int(row.exits[np.searchsorted(row.starts, state)])
+            key = row.last_key
+        return pdf[["block"]].assign(entry=entered)
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rn")
-        rn = pdf["rn"].to_numpy()
-        at = np.searchsorted(rn, int(pdf["_block"].iloc[0]) * block_rows + int(pdf["entry"].iloc[0]))
-        chosen = []
-        while at < len(rn):
+        spaced = _apart(pdf, pdf["rn"].to_numpy() - pdf["block"].iloc[0] * block_rows, cooldown)
+        chosen, at = [], np.searchsorted(spaced, pdf["entry"].iloc[0])
+        while at < len(spaced):
             chosen.append(at)
-            at = np.searchsorted(rn, rn[at] + cooldown)
-        return pdf.iloc[chosen][[*keys, "rn"]]
+            at = np.searchsorted(spaced, spaced[at] + cooldown)
+        return pdf.iloc[chosen][["rn"]]
 
-    steps = places.groupBy(*by_block).applyInPandas(
-        hand_on, shape(block_field, T.StructField("starts", longs), T.StructField("exits", longs))
+    steps = places.groupBy("block").applyInPandas(
+        hand_on, "block LONG, first_key STRING, last_key STRING, starts ARRAY<LONG>, exits ARRAY<LONG>"
     )
-    # One short row per block of a key, block_rows times fewer than positions.
-    entries = steps.groupBy(*(keys or [F.lit(0).alias("_all")])).applyInPandas(
-        enter, shape(block_field, T.StructField("entry", T.LongType()))
-    )
-    chosen = (
-        null_safe_join(places, entries, by_block)
-        .groupBy(*by_block)
-        .applyInPandas(pick, shape(T.StructField("rn", T.LongType())))
-    )
-    return breaches.join(chosen.select("rn"), "rn").select(*rates.columns)
+    # One short row per block, block_rows times fewer than positions.
+    entries = steps.groupBy(F.lit(0).alias("_all")).applyInPandas(enter, "block LONG, entry LONG")
+    chosen = places.join(entries, "block").groupBy("block").applyInPandas(pick, "rn LONG")
+    return breaches.join(chosen, "rn").select(*rates.columns)
+
+
+def _apart(pdf: pd.DataFrame, offsets: np.ndarray, cooldown: int) -> np.ndarray:
+    """Offsets of sorted rows with a further cool-down added at each change of key, so
+    that one walk over the block starts every key afresh."""
+    keys = pdf["key"].to_numpy()
+    return offsets + np.concatenate(([0], np.cumsum(keys[1:] != keys[:-1]))) * cooldown
 
 
-def _transfer(places: np.ndarray, cooldown: int, block_rows: int) -> tuple[list[int], list[int]]:
+def _transfer(
+    offsets: np.ndarray, spaced: np.ndarray, cooldown: int, block_rows: int
+) -> tuple[list[int], list[int]]:
     """What a block hands on, as a step function of the state it is entered in.
 
-    The state is the first place (from the block's start) that may alert again, from
-    0 to ``cooldown``. A state enters at the first breach at or after it, so one step
-    per breach in the first ``cooldown`` places covers every state.
+    The state is the first offset that may alert again, from 0 to ``cooldown``. A state
+    enters at the first breach at or after it, so one step per breach in the first
+    ``cooldown`` places covers every state.
     """
-    count = len(places)
-    onward = np.searchsorted(places, places + cooldown)
+    count = len(spaced)
+    onward = np.searchsorted(spaced, spaced + cooldown)
     # The last alert reached from each breach, by doubling the jump.
     last = np.where(onward < count, onward, np.arange(count))
     while True:
@@ -165,9 +166,9 @@ def _transfer(places: np.ndarray, cooldown: int, block_rows: int) -> tuple[list[
         if np.array_equal(further, last):
             break
         last = further
-    exits = np.maximum(0, places[last] + cooldown - block_rows)
-    head = int(np.searchsorted(places, cooldown, side="right"))
-    starts = places[:head].tolist() + [cooldown]
+    exits = np.maximum(0, offsets[last] + cooldown - block_rows)
+    head = int(np.searchsorted(spaced, cooldown, side="right"))
+    starts = spaced[:head].tolist() + [cooldown]
     handed = exits[:head].tolist() + [int(exits[head]) if head < count else 0]
     return starts, handed
 

@@ -162,7 +162,7 @@ def parity(t: Tables) -> DataFrame:
            quantile_cont({c}, 0.75) AS q75, max({c}) AS max
     FROM lineitem""" for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def profile_lineitem(t: Tables) -> DataFrame:
-    return profile.profile(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount"]).withColumns(
+    return profile.profile(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount"], plain_table=True).withColumns(
         {"mean": F.round("mean", 6), "std": F.round("std", 6)})
 
 

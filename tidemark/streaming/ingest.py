@@ -23,7 +23,8 @@ def ingest(
     ``parse(rows, attempt)`` adds a boolean ``ok`` and keeps the input columns. How
     much a batch admits is bounded by the reader (``max_files`` of ``read_log_stream``).
     Each attempt is written once, split by ``ok``; a later attempt reads back only
-    the failures. A replayed batch rewrites its own folders, so nothing is doubled.
+    the failures. A replayed batch rewrites the folders of all its attempts, also
+    those that now have nothing to do, so no row is doubled or left over.
     """
     columns = stream.columns
 
@@ -35,8 +36,6 @@ def ingest(
             parsed.write.mode("overwrite").partitionBy("ok").parquet(folder)
             written = batch.sparkSession.read.schema(parsed.schema).parquet(folder)
             pending = written.where(~F.col("ok")).select(*columns)
-            if pending.isEmpty():
-                break
 
     return (
         stream.writeStream.foreachBatch(step)

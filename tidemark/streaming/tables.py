@@ -45,8 +45,10 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     return versions.where(F.col("version") == newest).drop("version")
 
 
-def finish(query: StreamingQuery, timeout: float = 600) -> None:
+def finish(query: StreamingQuery, timeout: float | None = None) -> None:
     """Wait until a draining query has used up its input."""
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("stream did not finish in time")
