@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import exact_sum
+from tidemark.functions.times import hour_of
 
 
 def server_error(status: str = "status") -> Column:
@@ -55,8 +56,7 @@ def partial_then_final(
 
 def hourly_traffic(logs: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Rows per hour."""
-    hour = F.date_trunc("hour", ts).cast(dict(logs.dtypes)[ts]).alias("hour")
-    return logs.groupBy(hour).agg(F.count("*").alias("n"))
+    return logs.groupBy(hour_of(ts, dict(logs.dtypes)[ts]).alias("hour")).agg(F.count("*").alias("n"))
 
 
 def amount_by_type(events: DataFrame, amount: str = "amount", above: float = 0, places: int = 2) -> DataFrame:

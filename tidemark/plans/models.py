@@ -1,4 +1,4 @@
-"""Churn model queries. A fitted forest has no SQL form, so these carry no check."""
+"""Churn model queries. A fitted forest has no SQL form, so the two that fit one carry no check."""
 
 from pyspark.sql import DataFrame
 
@@ -24,7 +24,8 @@ def evaluate_churn(t: Tables) -> DataFrame:
     return churn.evaluate(churn.fit_churn(train), test)
 
 
-@query("take_sample")
+@query("take_sample", """
+    SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY md5('42:' || c_custkey) LIMIT 200""")
 def take_sample(t: Tables) -> DataFrame:
     """The month's 200 customers."""
-    return churn.take_sample(churn_customers(t), "customer_id", 200)
+    return churn.take_sample(t.customer.select("c_custkey", "c_name", "c_acctbal"), "c_custkey", 200)

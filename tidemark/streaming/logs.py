@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.times import as_instant, from_instant
 from tidemark.operators.logs import log_by, log_summary
 from tidemark.operators.report import fold_sales, sales_report
 from tidemark.streaming.tables import refresh_to
@@ -13,7 +14,7 @@ from tidemark.streaming.tables import refresh_to
 
 def _timed(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     """Event time with a watermark, which needs a TIMESTAMP column."""
-    return stream.withColumn("_time", F.col(ts).cast("timestamp")).withWatermark("_time", delay)
+    return stream.withColumn("_time", as_instant(ts, dict(stream.dtypes)[ts])).withWatermark("_time", delay)
 
 
 def stream_log_summary(stream: DataFrame, error: Column) -> DataFrame:
@@ -29,8 +30,9 @@ def stream_log_by(stream: DataFrame, key: str, size: str) -> DataFrame:
 def stream_hourly(stream: DataFrame, ts: str = "timestamp", delay: str = "10 minutes") -> DataFrame:
     """Rows per hour. An hour is emitted once the watermark, ``delay`` behind the newest
     row, has passed it; rows that come after that are dropped."""
+    kind = dict(stream.dtypes)[ts]
     hours = _timed(stream, ts, delay).groupBy(F.window("_time", "1 hour").alias("w"))
-    return hours.agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "n")
+    return hours.agg(F.count("*").alias("n")).select(from_instant("w.start", kind).alias("hour"), "n")
 
 
 def stream_error_rate(
@@ -43,12 +45,13 @@ def stream_error_rate(
 ) -> DataFrame:
     """Error rate per sliding time window. Windows are independent groups and combine
     before the shuffle, so this form has no hot key however fast the stream."""
+    kind = dict(stream.dtypes)[ts]
     windows = _timed(stream, ts, delay).groupBy(F.window("_time", length, slide).alias("w"))
     return windows.agg(
         F.count("*").alias("total"), F.count_if(error).alias("errors")
     ).select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        from_instant("w.start", kind).alias("window_start"),
+        from_instant("w.end", kind).alias("window_end"),
         "total", "errors", (F.col("errors") / F.col("total")).alias("error_rate"),
     )
 
