@@ -80,7 +80,8 @@ SCORED = [
 
 
 def test_priority_is_by_expected_loss(spark):
-    df = spark.createDataFrame([s[:3] for s in reversed(SCORED)], "customer_id STRING, probability DOUBLE, monthly_charges DOUBLE")
+    schema = "customer_id STRING, probability DOUBLE, monthly_charges DOUBLE"
+    df = spark.createDataFrame([s[:3] for s in reversed(SCORED)], schema)
     got = rows(priority.retention_priority(df), "customer_id", "probability", "monthly_charges", "expected_loss", "tier")
     assert got == SCORED
     assert [r[0] for r in rows(priority.call_list(df, 2), "customer_id")] == ["CUST-01673", "CUST-00830"]

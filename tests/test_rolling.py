@@ -97,10 +97,12 @@ def test_handing_on_agrees_with_walking():
             assert exits[int(np.searchsorted(starts, state))] == want
 
 
-@pytest.mark.parametrize("keys", [["key"], []])
-def test_stream_in_several_batches_equals_one_scan(spark, tmp_path, keys):
+@pytest.mark.parametrize("keys,quiet", [(["key"], 0), (["key"], 350), ([], 0), ([], 350)])
+def test_stream_in_several_batches_equals_one_scan(spark, tmp_path, keys, quiet):
     log = _log(21, 900, KEYS if keys else ["a"])
+    log = [(*row[:3], 200) if i < quiet else row for i, row in enumerate(log)]
     _, want = _expected(log)
+    assert want
     source = tmp_path / "in"
     for start in range(0, 900, 300):
         spark.createDataFrame(log[start:start + 300], SCHEMA).coalesce(1).write.mode("append").parquet(str(source))

@@ -55,7 +55,7 @@ def coach_score(
     late = F.col("day") == late_day
     done = F.count_if("done")
     per_learner = checklist.groupBy("learner", "track").agg(
-        F.max("help").alias("help"),
+        F.max(F.coalesce("help", F.lit(False))).alias("help"),
         F.count_if(~late & F.col("done")).alias("day1_done"),
         F.count_if(late & F.col("done")).alias("day2_done"),
         done.alias("done"),

@@ -1,9 +1,10 @@
 """Exact quantiles without sorting or shuffling a whole column.
 
-A column of few distinct values is counted value by value. For others a sketch brackets each quantile between two values that are sure to enclose it;
-a second pass counts the rows below the bracket and keeps only the values inside
-it (about 4 rows in 10,000), which are then put in order. The brackets are
-literals in that pass, so Parquet can skip row groups outside them.
+A column of few distinct values is counted value by value. For others a sketch
+brackets each quantile between two values that are sure to enclose it; a second pass
+counts the rows below the bracket, and a third keeps only the values inside it (about
+4 rows in 10,000), which are then put in order. The brackets are literals in those
+passes, so Parquet can skip row groups outside them.
 """
 
 from __future__ import annotations

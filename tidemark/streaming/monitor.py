@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.joins import null_safe_join
@@ -34,15 +34,16 @@ def stream_monitor(
     """Write alerts to ``<path>/alerts`` while rows flow in.
 
     Within a batch rows are taken in ``order_by`` order; batches follow each other as
-    they arrive. State is the last n-1 rows and the distance to the last alert per
-    key, written per batch, so a replayed batch starts from the same state.
+    they arrive. State is the last n-1 rows and the distance to the last alert per key.
+    Batches write it to two folders in turn, so a replayed batch finds the state it
+    started from and old state does not pile up.
     """
     keys, order_by = list(keys), list(order_by)
     columns = list(dict.fromkeys([*keys, *order_by, *keep]))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before, after = f"{path}/state/batch={batch_id - 1}", f"{path}/state/batch={batch_id}"
+        before, after = f"{path}/state/{(batch_id + 1) % 2}", f"{path}/state/{batch_id % 2}"
         rows = batch.select(*columns, F.coalesce(error, F.lit(False)).alias("error"), F.lit(True).alias("fresh"))
         if batch_id > 0:
             tail = spark.read.schema(rows.schema).parquet(f"{before}/tail")
@@ -56,7 +57,9 @@ def stream_monitor(
         )
         carried = None
         if batch_id > 0:
-            last = spark.read.parquet(f"{before}/last")
+            last = spark.read.schema(
+                T.StructType([*[rows.schema[k] for k in keys], T.StructField("since", T.LongType())])
+            ).parquet(f"{before}/last")
             joined = null_safe_join(last, ends, keys) if keys else last.withColumn(
                 "tail_end", ends.agg(F.max("tail_end")).scalar())
             carried = joined.select(*keys, (F.col("tail_end") - F.col("since")).alias("rn"))
