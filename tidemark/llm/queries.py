@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
-from tidemark.llm import packing, simhash, token_files
+from tidemark.llm import decontam, packing, simhash, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,82 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path(), END_ID)
     return token_files.read_documents(spark, path)
+
+
+#: The rules that op1 judges by.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return url_filter.judge(pages, url_filter.rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict", "reason")
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_ids")
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+CHECKS["op1_url_filter"] = f"""
+WITH RECURSIVE rules(verdict, rhost, rpath) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+raw AS (SELECT row_number() OVER () AS n, page_id, url, html,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+page AS (SELECT n, page_id, html, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*([^#]*)', 1) AS query FROM raw),
+tags AS (SELECT host, path, query, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) AS tag FROM page),
+goals AS (SELECT host, path, query, replace(CASE
+    WHEN regexp_matches(tag, '(?i)^<link') AND regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?canonical')
+        THEN regexp_extract(tag, '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?i)^<meta') AND regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*["'']?refresh')
+        THEN regexp_extract(tag, '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>;]+)', 1) END, '&amp;', '&') AS t FROM tags),
+full_goals AS (SELECT host || path || query AS a, CASE
+    WHEN regexp_matches(t, '^(#|$)') THEN NULL WHEN strpos(t, '://') > 0 THEN substr(t, strpos(t, '://') + 3)
+    WHEN starts_with(t, '//') THEN substr(t, 3) WHEN starts_with(t, '/') THEN host || t WHEN starts_with(t, '?') THEN host || path || t
+    ELSE host || regexp_extract(path, '^(.*/)?') || t END AS rest FROM goals WHERE t IS NOT NULL AND host <> ''),
+links AS (SELECT DISTINCT a, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} || regexp_extract(rest, '^[^/?#]*([^?#]*)', 1)
+    || regexp_extract(rest, '^[^?#]*([^#]*)', 1) AS b FROM full_goals WHERE regexp_extract(rest, '^[^/?#]*') <> ''),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+spots AS (SELECT DISTINCT a AS node, regexp_extract(a, '^[^/?#]*') AS host, regexp_extract(a, '^[^/?#]*([^?#]*)', 1) AS path FROM edges),
+places AS (SELECT host, path FROM page UNION SELECT host, path FROM spots),
+fits AS (SELECT host, path, arg_max(struct_pack(rule := rhost || rpath, verdict := verdict), length(rhost || rpath)) AS best
+    FROM places JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY host, path),
+aliases AS (SELECT r.a AS node, min(f.best.verdict) AS verdict FROM (SELECT a, b FROM reach UNION SELECT a, a FROM reach) r
+    JOIN spots s ON s.node = r.b JOIN fits f ON f.host = s.host AND f.path = s.path GROUP BY r.a)
+SELECT page_id, p.host, p.path, f.best.rule AS rule, coalesce(f.best.verdict, a.verdict, 'allow') AS verdict,
+    CASE WHEN f.best IS NOT NULL THEN 'rule' WHEN a.verdict IS NOT NULL THEN 'alias' ELSE 'default' END AS reason
+FROM page p LEFT JOIN fits f ON f.host = p.host AND f.path = p.path
+LEFT JOIN aliases a ON p.host <> '' AND a.node = p.host || p.path || p.query
+"""
+
+_WORDS = f"regexp_extract_all({_LOWER.format('coalesce(text, chr(32))')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+CHECKS["op2_decontamination"] = f"""
+WITH doc AS (SELECT row_number() OVER () AS n, doc_id, {_WORDS} AS w FROM documents),
+item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) <= 13 THEN [w] ELSE list_transform(range(1, len(w) - 11), lambda i: w[i:i + 12]) END) AS t
+    FROM item WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT len(t) AS size FROM win),
+place AS (SELECT n, w, size, unnest(range(1, len(w) - size + 2)) AS head FROM doc, sizes),
+hit AS (SELECT p.n, p.head, p.size, x.item_id FROM place p JOIN win x ON x.t = p.w[p.head:p.head + p.size - 1]),
+covered AS (SELECT n, count(DISTINCT pos) AS n_hit FROM (SELECT n, unnest(range(head, head + size)) AS pos FROM hit) GROUP BY n),
+named AS (SELECT n, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hit GROUP BY n),
+-- Proximity: the rarest word fixes the start, every other is within two places of its own.
+terms AS (SELECT DISTINCT t, generate_subscripts(t, 1) AS k, unnest(t) AS term FROM win),
+tok AS (SELECT n, generate_subscripts(w, 1) AS pos, unnest(w) AS term FROM doc),
+freq AS (SELECT term, count(*) AS f FROM tok GROUP BY term),
+first_term AS (SELECT t, arg_min(struct_pack(k := k, term := term), f * 1000 + k) AS r FROM terms JOIN freq USING (term) GROUP BY t),
+cand AS (SELECT a.t, b.n, b.pos - a.r.k AS start FROM first_term a JOIN tok b ON b.term = a.r.term),
+near AS (SELECT c.t, c.n, c.start FROM cand c JOIN terms m ON m.t = c.t
+    JOIN tok b ON b.n = c.n AND b.term = m.term AND b.pos BETWEEN c.start + m.k - 2 AND c.start + m.k + 2
+    GROUP BY c.t, c.n, c.start HAVING count(DISTINCT m.k) = len(c.t)),
+close AS (SELECT n, item_id FROM near JOIN win USING (t) GROUP BY n, item_id EXCEPT SELECT n, item_id FROM hit),
+closes AS (SELECT n, count(*) AS n_near FROM close GROUP BY n)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+    sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near
+FROM doc LEFT JOIN covered USING (n) LEFT JOIN named USING (n) LEFT JOIN closes USING (n)
+"""
