@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
-from tidemark.llm import decontam, packing, pii, simhash, token_files, url_filter
+from tidemark.llm import decontam, packing, pii, repeats, simhash, syncmers, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,3 +137,15 @@ FROM doc LEFT JOIN covered USING (n) LEFT JOIN named USING (n) LEFT JOIN closes
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Syncmer fingerprint of every document and of its edited text."""
+    return syncmers.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of passages that also start earlier."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
