@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
-from tidemark.llm import decontam, packing, pii, repeats, simhash, syncmers, token_files, url_filter
+from tidemark.llm import decontam, packing, pii, repeats, simhash, syncmers, token_files, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,3 +149,21 @@ def op6_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of passages that also start earlier."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+#: Score from which a document counts as toxic.
+TOXIC_FROM = 0.7
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Learnt from the labels that are not held out."""
+    return toxicity.learn(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
