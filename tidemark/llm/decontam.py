@@ -107,14 +107,8 @@ def matches(postings: DataFrame, terms: DataFrame, slack: int = 2, lists: int =
         "key", "window", "start", "size", (F.col("exact") == F.col("size")).alias("exact"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = 13, slack: int = 2, share: int = 20) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near, item_ids.
-
-    A word inside an exact occurrence of a window is hit; a document is contaminated if at least one in
-    ``share`` of its words is. ``n_near`` counts items with a proximity match and no exact one. Null and
-    empty texts have no words and are clean. Repeated rows each keep their result; without documents
-    there are no rows, without items every document is clean. Other columns are ignored.
-    """
+def _by_text(docs: DataFrame, items: DataFrame, width: int, slack: int) -> tuple[DataFrame, DataFrame]:
+    """(key, item_ids, n_items, n_near) and (key, n_hit) of the texts with a match."""
     parts = windows(items.select("item_id", "text"), width)
     postings = index(docs, parts.terms.select("term").distinct())
     occurrences = stored(matches(postings, parts.terms, slack))
@@ -125,6 +119,25 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 13, slack: int
     named = by_item.groupBy("key").agg(
         F.array_sort(F.collect_list(F.when(F.col("exact"), F.col("item_id").cast("string")))).alias("item_ids"),
         F.count(F.when(F.col("exact"), True)).alias("n_items"), F.count(F.when(~F.col("exact"), True)).alias("n_near"))
+    return named, hit
+
+
+def clean(docs: DataFrame, items: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
+    """The rows of ``docs`` that ``contamination`` does not call contaminated, with all their columns."""
+    _, hit = _by_text(docs, items, width, 0)
+    rows = docs.withColumn("_key", text_key(F.col("text"))).join(hit.select(F.col("key").alias("_key"), F.col("n_hit").alias("_hit")), "_key", "left")
+    return rows.where(F.col("_hit").isNull() | (F.col("_hit") * share < word_count(F.col("text")))).select(*docs.columns)
+
+
+def contamination(docs: DataFrame, items: DataFrame, width: int = 13, slack: int = 2, share: int = 20) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near, item_ids.
+
+    A word inside an exact occurrence of a window is hit; a document is contaminated if at least one in
+    ``share`` of its words is. ``n_near`` counts items with a proximity match and no exact one. Null and
+    empty texts have no words and are clean. Repeated rows each keep their result; without documents
+    there are no rows, without items every document is clean. Other columns are ignored.
+    """
+    named, hit = _by_text(docs, items, width, slack)
     rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), word_count(F.col("text")).alias("n_words"))
     full = rows.join(named.join(hit, "key", "left"), "key", "left").withColumns({
         **{c: F.coalesce(c, F.lit(0).cast("long")) for c in ("n_hit", "n_items", "n_near")},

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
-from tidemark.llm import decontam, packing, pii, repeats, simhash, syncmers, token_files, toxicity, url_filter
+from tidemark.llm import decontam, packing, pii, repeats, secrets, simhash, syncmers, token_files, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,3 +167,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model).select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+@query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.find(docs, secrets.learn(docs)))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.session import stored
 from tidemark.llm.graph import components
+from tidemark.llm.text import text_key
 
 SEED = 42
 #: Blocks beyond the radius that a shard's fingerprints agree on; 4 leave about 21 free bits.
@@ -155,6 +156,15 @@ def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | N
     yield None
 
 
+def _classes(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, first): the component and the smallest ``row`` of every fingerprint in ``prints``."""
+    distinct = stored(prints.groupBy("fp").agg(F.min("row").alias("first")))
+    roots = components(links(distinct, radius))
+    classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    return classes.join(classes.groupBy("root").agg(F.min("first").alias("least")), "root").select("fp", "least")
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of ``docs``.
 
@@ -164,10 +174,20 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
     has no other member. Repeated rows stay; other columns are ignored; no rows give none.
     """
     prints = stored(fingerprints(docs, width))
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(distinct, radius))
-    classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = classes.join(classes.groupBy("root").agg(F.min("first_id").alias("component_id")), "root")
-    return prints.join(named.select("fp", "component_id"), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = _classes(prints.withColumnRenamed("doc_id", "row"), radius)
+    return prints.join(named, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id"))
+
+
+def representatives(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
+    """One row of each group of near-duplicates: that with the smallest doc_id, nulls last, then the smallest text hash.
+
+    All columns of ``docs`` are kept as they are.
+    """
+    id_rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), text_key(F.col("text")).alias("text"))
+    # Fingerprints are computed on the keys and texts alone, and meet the rows again by that key.
+    prints = stored(fingerprints(docs.select(id_rank.alias("doc_id"), "text"), width))
+    least = _classes(prints.withColumnRenamed("doc_id", "row"), radius).select(F.col("least").alias("_row")).distinct()
+    kept = docs.withColumn("_row", id_rank).join(least, "_row", "left_semi")
+    repeats = kept.groupBy("_row").count().where("count > 1").limit(1).count()
+    return (kept.dropDuplicates(["_row"]) if repeats else kept).drop("_row")
