@@ -87,7 +87,7 @@ def pack(items: DataFrame, capacity: int = 4096, fan_in: int = FAN_IN, task_item
     for both; a length above ``capacity`` is an error, as only the caller can cut an
     item. No items: no rows. Columns named ``sequence_id``, ``offset`` or ``bin`` are replaced.
     """
-    items = items.drop("sequence_id", "offset", "bin")
+    items = stored(items.drop("sequence_id", "offset", "bin"))
     checked = items.where(F.col("length") >= 1).withColumn(
         "length", F.when(F.col("length") > capacity, F.raise_error(F.lit(f"an item is longer than {capacity}")))
         .otherwise(F.col("length")))
