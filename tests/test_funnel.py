@@ -38,8 +38,7 @@ def test_scores_and_grades(checklist):
 
 def test_names_and_headline_figures(checklist):
     graded = funnel.coach_grade(funnel.coach_score(checklist))
-    assert rows(funnel.coach_names(graded)) == [(1, "L01, L02")]
-    assert rows(funnel.coach_names(graded, per_line=1).orderBy("line")) == [(1, "L01"), (2, "L02")]
+    assert rows(funnel.coach_names(graded).orderBy("place")) == [(1, "L01"), (2, "L02")]
     kpis = funnel.coach_kpis(graded, funnel.funnel(checklist)).first()
     assert round(kpis["mean_progress_pct"]) == 68
     assert (kpis["finished_all"], kpis["help_requests"], kpis["lowest_task_rate"]) == (2, 1, 0.2)

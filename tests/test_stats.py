@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -92,3 +93,48 @@ def test_fisher_against_full_enumeration():
             return math.comb(col, k) * math.comb(n - col, row - k) / math.comb(n, row)
         want = sum(p(k) for k in range(max(0, row + col - n), min(row, col) + 1) if p(k) <= p(a) * (1 + 1e-7))
         assert pvalues.fisher_two_sided(a, b, c, d) == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.parametrize("dof", [1e8, 1e10, 1e12])
+@pytest.mark.parametrize("t", [0.2, 1.959963984540054, 4.0])
+def test_t_tail_of_many_degrees_nears_the_normal(t, dof):
+    limit = 2 * pvalues.normal_sf(t)
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    assert pvalues.t_two_sided(t, dof) == pytest.approx(limit + t * (t * t + 1) * density / (2 * dof), rel=1e-9)
+
+
+@pytest.mark.parametrize("n", [10**8, 10**10, 10**12])
+def test_fisher_of_large_tables_nears_the_normal(n):
+    spread = math.sqrt(n) / 4
+    begin = time.perf_counter()
+    for z in (0.0, 1.0, 2.5):
+        a = n // 4 + round(z * spread)
+        got = pvalues.fisher_two_sided(a, n // 2 - a, n // 2 - a, a)
+        want = 1.0 if z == 0 else 2 * pvalues.normal_sf((round(z * spread) - 0.5) / spread * math.sqrt(1 - 1 / n))
+        assert got == pytest.approx(want, abs=1e-6)
+    assert time.perf_counter() - begin < 0.5
+
+
+def test_fisher_sums_and_integrals_agree(monkeypatch):
+    for table in ((9_000_000, 8_995_000, 9_002_000, 9_004_000), (40_000_000, 1_000_000, 39_000_000, 970_000)):
+        monkeypatch.setattr(pvalues, "_WIDE", 1e18)
+        want = pvalues.fisher_two_sided(*table)
+        monkeypatch.setattr(pvalues, "_WIDE", 100.0)
+        assert pvalues.fisher_two_sided(*table) == pytest.approx(want, rel=1e-6)
+
+
+def test_degenerate_input_has_a_null_answer(spark):
+    def table(data):
+        return spark.createDataFrame(data, "g STRING, v DOUBLE, y INT")
+
+    flat = table([("a", 1.0, 1), ("a", 1.0, 1), ("b", 1.0, 1), ("b", 1.0, 1)])
+    assert stats.t_test(flat, "v", "g", "a", "b").first()["p_value"] is None
+    assert stats.t_test(flat, "v", "g", "a", "b", welch=False).first()["p_value"] is None
+    assert stats.mann_whitney(flat, "v", "g", "a", "b").first()["p_value"] is None
+    assert stats.roc_auc(flat, "v", "y").first()["auc"] is None
+    single = table([("a", 1.0, 1), ("b", 2.0, 0)])
+    assert stats.t_test(single, "v", "g", "a", "b").first()["p_value"] is None
+    assert stats.roc_auc(single, "v", "y").first()["auc"] == 0.0
+    empty = flat.limit(0)
+    assert stats.mann_whitney(empty, "v", "g", "a", "b").first()["p_value"] is None
+    assert stats.roc_auc(empty, "v", "y").first()["auc"] is None

@@ -33,7 +33,14 @@ def test_done_alerts_are_hidden(spark, products):
     valid, invalid = validation.validate_products(products)
     done = spark.createDataFrame([("OUT-P004",), ("DATA-P007",)], "alert_id STRING")
     left = store.open_alerts(store.alerts(store.store_metrics(valid), invalid), done)
-    assert {r[0] for r in rows(left, "alert_id")} == {a[0] for a in STORE_ALERTS} - {"OUT-P004", "DATA-P007"}
+    assert [r[0] for r in rows(left, "alert_id")] == [a[0] for a in STORE_ALERTS if a[0] not in ("OUT-P004", "DATA-P007")]
+
+
+def test_order_days_and_empty_shelves(spark):
+    two = spark.createDataFrame([("X", "x", "c", 1000, 4, 3.0, 5, 9, 1000, "s"), ("Y", "y", "c", 1000, 0, 3.0, 5, -1, 1000, "s")], STORE_COLUMNS)
+    raised = store.product_alerts(store.store_metrics(two), store.AlertLimits(order_days=14))
+    assert {r[0]: r[1] for r in rows(raised, "alert_id", "action")}["LOW-X"] == "14일 판매분을 고려해 약 38개 발주"
+    assert {r[0] for r in rows(raised, "alert_id")} == {"LOW-X", "OUT-Y"}
 
 
 def test_one_product_may_raise_several_alerts(spark):

@@ -30,7 +30,7 @@ OUT_ACTION = "오늘 바로 최소 %d개 발주"
 EXP_REASON = "유통기한 %d일, 남은 재고 %d개"
 EXP_ACTION = "마감 할인·1+1 행사 후 남은 수량은 폐기 기준 확인"
 LOW_REASON = "재고 %d개, 약 %.1f일분 남음"
-LOW_ACTION = "7일 판매분을 고려해 약 %d개 발주"
+LOW_ACTION = "%d일 판매분을 고려해 약 %d개 발주"
 PRICE_REASON = "이전 가격보다 %+.1f%% 변동"
 PRICE_ACTION = "입고가와 가격표를 대조하고 오입력이면 판매가 수정"
 NOSALE_REASON = "판매 0개인데 재고가 %d개 남음"

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts
-from tidemark.operators.ordering import number_rows, rank_groups
+from tidemark.operators.ordering import number_rows
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,7 @@ def funnel(checklist: DataFrame) -> DataFrame:
     counts = checklist.groupBy("task_seq", "day", "task").agg(
         F.count_if("done").alias("done"), F.count("*").alias("learners")
     )
-    ranked = rank_groups(counts, [F.col("task_seq")], "step").withColumn(
+    ranked = number_rows(counts, [F.col("task_seq")], "step").withColumn(
         "rate", F.col("done") / F.col("learners")
     )
     before = ranked.select((F.col("step") + 1).alias("step"), F.col("done").alias("_before"))
@@ -92,18 +92,10 @@ def coaching_priority(graded: DataFrame) -> DataFrame:
     )
 
 
-def coach_names(graded: DataFrame, grade: str = texts.GRADES[0], per_line: int = 100) -> DataFrame:
-    """Names in one grade, highest risk first, joined with commas.
-
-    Lines hold up to ``per_line`` names, so no text grows with the data.
-    """
+def coach_names(graded: DataFrame, grade: str = texts.GRADES[0]) -> DataFrame:
+    """Names in one grade with their place, highest risk first: one row per learner, whatever their number."""
     chosen = graded.where(F.col("grade") == grade).select("learner", "risk")
-    placed = number_rows(chosen, [F.col("risk").desc(), F.col("learner")])
-    line = F.floor((F.col("rn") - 1) / per_line) + 1
-    names = F.array_sort(F.collect_list(F.struct("rn", "learner")))
-    return placed.groupBy(line.alias("line")).agg(
-        F.array_join(F.transform(names, lambda x: x["learner"]), ", ").alias("names")
-    )
+    return number_rows(chosen, [F.col("risk").desc(), F.col("learner")], "place").select("place", "learner")
 
 
 def coach_kpis(graded: DataFrame, tasks: DataFrame) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F, types as T
 
 from tidemark.functions.session import settle
 
-FEW_GROUPS = 100_000  # aggregated rows that one task may sort
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row index in its low bits
 
 
@@ -68,23 +67,6 @@ def number_rows(df: DataFrame, order_by: Sequence[Column], name: str = "rn") ->
     )
 
 
-def rank_groups(groups: DataFrame, order_by: Sequence[Column], name: str = "rank") -> DataFrame:
-    """Number the rows of an aggregated table.
-
-    The table is settled first so that its real size decides: few groups are
-    ranked in one task, many are ranked by range partition.
-    """
-    kept = settle(groups)
-    return rank_settled(kept, kept.count(), order_by, name)
-
-
-def rank_settled(kept: DataFrame, rows: int, order_by: Sequence[Column], name: str = "rank") -> DataFrame:
-    """``rank_groups`` of a settled table of ``rows`` rows. The result is in rank order."""
-    if rows <= FEW_GROUPS:
-        return kept.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
-    return number_rows(kept, order_by, name)
-
-
 def running_totals(df: DataFrame, order_by: Sequence[Column], sums: Sequence[str]) -> DataFrame:
     """Add ``<column>_before``: the sum over all rows that come earlier in the
     global order. ``order_by`` must be unique and ``sums`` long or double."""

@@ -1,10 +1,10 @@
 """Exact quantiles without sorting or shuffling a whole column.
 
-A column of few distinct values is counted value by value. For others a sketch
-brackets each quantile between two values that are sure to enclose it; a second pass
-counts the rows below the bracket, and a third keeps only the values inside it (about
-4 rows in 10,000), which are then put in order. The brackets are literals in those
-passes, so Parquet can skip row groups outside them.
+A sketch brackets each quantile between two values that are sure to enclose it; a
+second pass counts the rows below the bracket and keeps, value by value, those inside
+it (about 4 rows in 10,000, or the repeats of a few values), which are then put in
+order. The brackets are literals in those passes, so Parquet can skip row groups
+outside them. Small and large columns go the same way.
 """
 
 from __future__ import annotations
@@ -13,14 +13,13 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import stored
 from tidemark.operators.ordering import running_totals
 
 _ACCURACY = 10_000  # rank error of the sketch is at most rows / _ACCURACY
-_FEW_VALUES = 10 * _ACCURACY  # up to so many distinct values fit one exact aggregate buffer
 
 
 def exact_quantiles(
@@ -37,21 +36,14 @@ def exact_quantiles(
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     if not plain_table:
         values = stored(values)
-    size = values.agg(*[
-        F.struct(F.count(c).alias("n"), F.approx_count_distinct(c).alias("distinct")).alias(c) for c in columns
-    ]).first()
-    few = {c for c in columns if min(size[c]["n"], size[c]["distinct"]) <= _FEW_VALUES}
     margin = 2.0 / _ACCURACY
     cuts = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
     first = values.agg(*[
-        (F.percentile(c, probs) if c in few else F.percentile_approx(c, cuts, _ACCURACY)).alias(c)
-        for c in columns
+        F.struct(F.count(c).alias("n"), F.percentile_approx(c, cuts, _ACCURACY).alias("cuts")).alias(c) for c in columns
     ]).first()
-    answer: dict[str, list[float | None]] = {c: list(first[c] or [None] * len(probs)) for c in few}
-    many = {c: (size[c]["n"], first[c]) for c in columns if c not in few}
-    if many:
-        answer |= _bracketed(values, many, probs)
-    return {c: answer[c] for c in columns}
+    found = {c: (first[c]["n"], first[c]["cuts"]) for c in columns if first[c]["n"]}
+    answer = _bracketed(values, found, probs) if found else {}
+    return {c: answer.get(c, [None] * len(probs)) for c in columns}
 
 
 def _bracketed(
@@ -76,15 +68,8 @@ def _bracketed(
         .groupBy("slot", "value")
         .agg(F.count("*").alias("n"))
     )
-    if max(counted[f"within:{c}:{i}"] for c, i, _, _ in slots) <= _FEW_VALUES:
-        # Small by measure: one task may order a bracket.
-        earlier = Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        placed = inside.withColumn("n_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        starts = dict.fromkeys(range(len(slots)), 0)
-    else:
-        placed = running_totals(inside, [F.col("slot"), F.col("value")], ["n"])
-        first = placed.groupBy("slot").agg(F.min("n_before").alias("start"))
-        starts = {r["slot"]: r["start"] for r in first.collect()}
+    placed = running_totals(inside, [F.col("slot"), F.col("value")], ["n"])
+    starts = {r["slot"]: r["start"] for r in placed.groupBy("slot").agg(F.min("n_before").alias("start")).collect()}
 
     places, wanted = {}, F.lit(False)
     for slot, (c, i, _, _) in enumerate(slots):

@@ -14,10 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts
-from tidemark.functions.money import units
-from tidemark.functions.session import settle
+from tidemark.functions.money import as_amount, units
 from tidemark.operators.joins import null_safe_join
-from tidemark.operators.ordering import rank_settled
+from tidemark.operators.ordering import number_rows
 
 
 # Prices have up to two decimals and discounts are whole percents.
@@ -51,22 +50,21 @@ def sales_report(totals: DataFrame, group_by: str) -> DataFrame:
 
     ``totals`` comes from ``fold_sales`` or ``merge_sales``.
     """
-    kept = settle(totals)
-    size = kept.agg(F.count("*").alias("groups"), F.max("total_units").alias("largest")).first()
-    ranked = rank_settled(kept, size["groups"], [F.col("total_units").desc(), F.col(group_by)])
+    ranked = number_rows(totals, [F.col("total_units").desc(), F.col(group_by)], "rank")
+    largest = ranked.agg(F.max("total_units").cast("double")).scalar()
     return ranked.select(
         "rank",
         F.col(group_by).alias("group"),
         F.col("orders").alias("count"),
-        (F.col("price_units") / 10**PRICE_PLACES / F.nullif(F.col("priced"), F.lit(0))).alias("avg_price"),
-        (F.col("total_units") / 10**AMOUNT_PLACES).alias("total"),
-        F.round(F.col("total_units") / F.lit(size["largest"]) * 100, 1).alias("share_pct"),
+        (as_amount("price_units", PRICE_PLACES) / F.nullif(F.col("priced"), F.lit(0))).alias("avg_price"),
+        as_amount("total_units", AMOUNT_PLACES).alias("total"),
+        F.round(F.col("total_units").cast("double") / largest * 100, 1).alias("share_pct"),
     )
 
 
 def report_rows(report: DataFrame) -> DataFrame:
-    """The report as display text."""
-    return report.select(
+    """The report as display text, best first."""
+    return report.orderBy("rank").select(
         "rank", "group",
         F.format_number("count", 0).alias("count"),
         F.format_number("avg_price", 0).alias("avg_price"),
@@ -79,7 +77,7 @@ def sales_kpis(totals: DataFrame, group_by: str) -> DataFrame:
     """Total, order count, mean per order, number of groups and best group, as one row."""
     best_first = F.struct(-F.col("total_units"), F.col(group_by))
     return totals.agg(
-        (F.sum("total_units") / 10**AMOUNT_PLACES).alias("grand_total"),
+        as_amount(F.sum("total_units"), AMOUNT_PLACES).alias("grand_total"),
         F.sum("orders").alias("orders"),
         F.count("*").alias("groups"),
         F.min_by(group_by, best_first).alias("top_group"),
@@ -102,12 +100,14 @@ def kpi_rows(kpis: DataFrame) -> DataFrame:
     return kpis.select(F.explode(pairs).alias("kpi")).select("kpi.*")
 
 
-def pivot_revenue(folded: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Revenue per ``row``, one column per listed value of ``column``.
+def pivot_revenue(folded: DataFrame, row: str, column: str, values: Sequence[str], other: str = "other") -> DataFrame:
+    """Revenue per ``row``, one column per listed value of ``column`` and one for all others, missing ones included.
 
     The values are listed so that Spark need not read the data twice.
     """
-    return folded.groupBy(row).pivot(column, list(values)).agg(F.sum("total_units") / 10**AMOUNT_PLACES)
+    listed = F.coalesce(F.col(column).isin(*values), F.lit(False))
+    shown = folded.withColumn(column, F.when(listed, F.col(column)).otherwise(F.lit(other)))
+    return shown.groupBy(row).pivot(column, [*values, other]).agg(as_amount(F.sum("total_units"), AMOUNT_PLACES))
 
 
 def merge_stats(df: DataFrame, keys: Sequence[str], stats: dict[str, Column]) -> DataFrame:

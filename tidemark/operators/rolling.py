@@ -38,8 +38,7 @@ def rolling_error_rate(
     order, so within a key it is consecutive. ``window_rows`` is below ``n`` while a
     key's window is still filling.
     """
-    if chunk_rows < n - 1:
-        raise ValueError("chunk_rows must be at least n - 1")
+    chunk_rows = max(chunk_rows, n - 1)  # a chunk's first window reaches into one chunk before it only
     columns = list(dict.fromkeys([*keys, *order_by, *keep]))
     slim = df.select(*columns, F.coalesce(error, F.lit(False)).alias("is_error"))
     numbered = number_rows(slim, [F.col(c) for c in [*keys, *order_by]])
@@ -89,8 +88,7 @@ def rolling_alerts(
 
     ``last_alerts`` (keys and ``rn``) carries the state of an earlier run.
     """
-    if block_rows < cooldown:
-        raise ValueError("block_rows must be at least cooldown")
+    block_rows = max(block_rows, cooldown)  # a block's alert silences rows of the next one only
     keys = list(keys)
     breaches = rates.where((F.col("window_rows") == n) & (F.col("error_rate") > threshold))
     if last_alerts is not None:

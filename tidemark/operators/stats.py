@@ -19,7 +19,10 @@ def group_means(df: DataFrame, value: str, group: str) -> DataFrame:
 
 
 def t_test(df: DataFrame, value: str, group: str, first, second, welch: bool = True) -> DataFrame:
-    """Two-sided t-test between two groups: Welch's, or Student's with pooled variance."""
+    """Two-sided t-test between two groups: Welch's, or Student's with pooled variance.
+
+    The statistic and p are null if a group has fewer than two values or both are constant.
+    """
     def moments(level, tag: str) -> list[Column]:
         x = F.when(F.col(group) == level, F.col(value).cast("double"))
         return [F.count(x).alias(f"n{tag}"), F.avg(x).alias(f"mean{tag}"), F.var_samp(x).alias(f"var{tag}")]
@@ -27,14 +30,14 @@ def t_test(df: DataFrame, value: str, group: str, first, second, welch: bool = T
     sums = df.agg(*moments(first, "1"), *moments(second, "2"))
     n1, n2, v1, v2 = F.col("n1"), F.col("n2"), F.col("var1"), F.col("var2")
     if welch:
-        s1, s2 = v1 / n1, v2 / n2
+        s1, s2 = F.try_divide(v1, n1), F.try_divide(v2, n2)
         spread = s1 + s2
-        dof = spread * spread / (s1 * s1 / (n1 - 1) + s2 * s2 / (n2 - 1))
+        dof = F.try_divide(spread * spread, F.try_divide(s1 * s1, n1 - 1) + F.try_divide(s2 * s2, n2 - 1))
     else:
         dof = (n1 + n2 - 2).cast("double")
-        spread = ((n1 - 1) * v1 + (n2 - 1) * v2) / dof * (1 / n1 + 1 / n2)
+        spread = F.try_divide((n1 - 1) * v1 + (n2 - 1) * v2, dof) * (F.try_divide(F.lit(1.0), n1) + F.try_divide(F.lit(1.0), n2))
     return (
-        sums.withColumn("t", (F.col("mean1") - F.col("mean2")) / F.sqrt(spread))
+        sums.withColumn("t", F.try_divide(F.col("mean1") - F.col("mean2"), F.sqrt(spread)))
         .withColumn("dof", dof)
         .withColumn("p_value", pvalues.p_t("t", "dof"))
     )
@@ -135,22 +138,25 @@ def _rank_sums(df: DataFrame, value: str, in_first: Column, in_second: Column) -
 
 
 def mann_whitney(df: DataFrame, value: str, group: str, first, second) -> DataFrame:
-    """Two-sided Mann-Whitney U test, normal approximation with tie and continuity correction."""
+    """Two-sided Mann-Whitney U test, normal approximation with tie and continuity correction.
+
+    z and p are null if a group is empty or all values tie.
+    """
     ranks = _rank_sums(df, value, F.col(group) == first, F.col(group) == second)
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n, both = n1 + n2, n1 * n2
-    sd = F.sqrt(both / 12 * (n + 1 - F.col("ties") / (n * (n - 1))))
+    sd = F.sqrt(both / 12 * (n + 1 - F.try_divide(F.col("ties"), n * (n - 1))))
     return (
         ranks.withColumn("u", F.col("u1"))
-        .withColumn("z", (F.greatest(F.col("u1"), both - F.col("u1")) - both / 2 - 0.5) / sd)
+        .withColumn("z", F.try_divide(F.greatest(F.col("u1"), both - F.col("u1")) - both / 2 - 0.5, sd))
         .select("n1", "n2", "u", "z", pvalues.p_normal_two_sided("z").alias("p_value"))
     )
 
 
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the ROC curve of ``score`` for 0/1 ``label``."""
+    """Area under the ROC curve of ``score`` for 0/1 ``label``; null if only one class is there."""
     ranks = _rank_sums(df, score, F.col(label) == 1, F.col(label) == 0)
     return ranks.select(
         F.col("n1").alias("positives"), F.col("n2").alias("negatives"),
-        (F.col("u1") / (F.col("n1").cast("double") * F.col("n2"))).alias("auc"),
+        F.try_divide(F.col("u1"), F.col("n1").cast("double") * F.col("n2")).alias("auc"),
     )

@@ -46,12 +46,12 @@ def _rules(limits: AlertLimits) -> list[tuple[str, str, Column, Column, Column]]
         ("OUT", texts.LEVEL_URGENT, stock == 0,
          F.lit(texts.OUT_REASON),
          F.format_string(texts.OUT_ACTION, (limits.out_reorder_factor * reorder).cast("bigint"))),
-        ("EXP", texts.LEVEL_URGENT, (expiry <= limits.expiry_days) & (stock > expiry * daily),
+        ("EXP", texts.LEVEL_URGENT, (expiry <= limits.expiry_days) & (stock > 0) & (stock > expiry * daily),
          F.format_string(texts.EXP_REASON, expiry, stock.cast("bigint")),
          F.lit(texts.EXP_ACTION)),
         ("LOW", texts.LEVEL_CAUTION, (stock != 0) & ((stock <= reorder) | (days < limits.low_days)),
          F.format_string(texts.LOW_REASON, stock.cast("bigint"), days),
-         F.format_string(texts.LOW_ACTION, refill)),
+         F.format_string(texts.LOW_ACTION, F.lit(limits.order_days), refill)),
         ("PRICE", texts.LEVEL_CHECK, F.abs(pct) >= limits.price_change_pct,
          F.format_string(texts.PRICE_REASON, pct),
          F.lit(texts.PRICE_ACTION)),
@@ -104,13 +104,13 @@ def level_rank(level: str = "level") -> Column:
 
 def alerts(metrics: DataFrame, invalid: DataFrame, limits: AlertLimits = AlertLimits()) -> DataFrame:
     """All alerts, most pressing level first, then by product name."""
-    return (
-        data_alerts(invalid)
-        .unionByName(product_alerts(metrics, limits))
-        .orderBy(level_rank(), "product", "alert_id")
-    )
+    return _in_order(data_alerts(invalid).unionByName(product_alerts(metrics, limits)))
+
+
+def _in_order(raised: DataFrame) -> DataFrame:
+    return raised.orderBy(level_rank(), "product", "alert_id")
 
 
 def open_alerts(raised: DataFrame, done: DataFrame) -> DataFrame:
-    """Alerts that nobody has marked as done."""
-    return raised.join(done.select("alert_id"), "alert_id", "left_anti")
+    """Alerts that nobody has marked as done, in the order of ``alerts``."""
+    return _in_order(raised.join(done.select("alert_id"), "alert_id", "left_anti"))

@@ -65,11 +65,8 @@ def coaching_priority(t: Tables) -> DataFrame:
 
 
 @query("coach_names", f"""
-    SELECT line, string_agg(learner, ', ' ORDER BY rn) AS names
-    FROM (SELECT learner, rn, cast(floor((rn - 1) / 100) + 1 AS bigint) AS line
-          FROM (SELECT learner, row_number() OVER (ORDER BY risk DESC, learner) AS rn
-                FROM ({_GRADE}) WHERE grade = '우선코칭'))
-    GROUP BY line""")
+    SELECT row_number() OVER (ORDER BY risk DESC, learner) AS place, learner
+    FROM ({_GRADE}) WHERE grade = '우선코칭'""")
 def coach_names(t: Tables) -> DataFrame:
     return funnel.coach_names(_graded(t))
 

@@ -133,7 +133,7 @@ def validate_invalid(t: Tables) -> DataFrame:
 
 _USERS = """
     SELECT c_custkey AS id, c_nationkey * 3 - 2 AS age, c_acctbal / 95 AS score,
-           CASE WHEN c_acctbal BETWEEN 0 AND 200 THEN 'not-an-email'
+           CASE WHEN c_acctbal BETWEEN 0 AND 200 THEN 'at sign missing'
                 WHEN c_acctbal BETWEEN 5000 AND 5200 THEN NULL
                 ELSE lower(replace(c_name, '#', '_')) || '@example.com' END AS email
     FROM customer"""
@@ -195,7 +195,9 @@ def flatten_products(t: Tables) -> DataFrame:
     return nested.flatten_products(offers.join(products, "l_partkey").join(sellers, "l_suppkey"))
 
 
-_FEEDS = {"매대": ("PROMO", "SMALL"), "창고": ("LARGE", "MEDIUM"), "공급업체": ("ECONOMY", "STANDARD")}
+# The names of the feeds. The last one holds whatever the others do not.
+_FEEDS = {"매대": ("PROMO", "SMALL"), "창고": ("LARGE", "MEDIUM")}
+_LAST_FEED = "공급업체"
 
 
 @query("union_sources", """
@@ -207,9 +209,9 @@ _FEEDS = {"매대": ("PROMO", "SMALL"), "창고": ("LARGE", "MEDIUM"), "공급
 def union_sources(t: Tables) -> DataFrame:
     """Three feeds, of which only the shelf feed knows the expiry date."""
     products = store_products(t.part).select("product_id", "category", "stock", "expiry_days")
-    feeds = {
-        name: products.where(F.col("category").isin(*types)) for name, types in _FEEDS.items()
-    }
+    feeds = {name: products.where(F.col("category").isin(*types)) for name, types in _FEEDS.items()}
+    listed = F.col("category").isin(*[c for types in _FEEDS.values() for c in types])
+    feeds[_LAST_FEED] = products.where(~F.coalesce(listed, F.lit(False)))
     return readers.union_sources(
         {name: df if name == "매대" else df.drop("expiry_days") for name, df in feeds.items()})
 

@@ -74,13 +74,14 @@ _TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 @query("pivot_revenue", f"""
     SELECT l_returnflag, {", ".join(
-        f"cast(sum({_AMOUNT}) FILTER (p_type = '{p}') AS double) AS {p}" for p in _TYPES)}
+        f"cast(sum({_AMOUNT}) FILTER (p_type = '{p}') AS double) AS {p}" for p in _TYPES[:-1])},
+           cast(sum({_AMOUNT}) FILTER (p_type NOT IN {_TYPES[:-1]}) AS double) AS other
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def pivot_revenue(t: Tables) -> DataFrame:
     lines = sales_lines(t.lineitem, "l_returnflag", F.col("l_partkey").alias("p_partkey"))
     folded = report.fold_sales(lines, "l_returnflag", "p_partkey").join(
         t.part.select("p_partkey", "p_type"), "p_partkey")
-    return report.pivot_revenue(folded, "l_returnflag", "p_type", _TYPES)
+    return report.pivot_revenue(folded, "l_returnflag", "p_type", _TYPES[:-1])
 
 
 @query("merge_stats", """

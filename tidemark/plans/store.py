@@ -24,7 +24,7 @@ _ALERTS = f"""
     UNION ALL SELECT 'EXP-' || product_id, '긴급', product_name,
            '유통기한 ' || expiry_days || '일, 남은 재고 ' || stock || '개',
            '마감 할인·1+1 행사 후 남은 수량은 폐기 기준 확인'
-           FROM m WHERE expiry_days <= 2 AND stock > expiry_days * daily_sales
+           FROM m WHERE expiry_days <= 2 AND stock > 0 AND stock > expiry_days * daily_sales
     UNION ALL SELECT 'LOW-' || product_id, '주의', product_name,
            '재고 ' || stock || '개, 약 ' || printf('%.1f', days_of_stock) || '일분 남음',
            '7일 판매분을 고려해 약 ' || greatest(0, cast(7 * daily_sales - stock AS bigint)) || '개 발주'
@@ -65,8 +65,8 @@ def open_alerts(t: Tables) -> DataFrame:
 
 
 _SCORED = """
-    SELECT c_custkey AS customer_id, round(open / orders, 3) AS probability, c_acctbal / 97 AS monthly_charges
-    FROM customer JOIN (
+    SELECT c_custkey AS customer_id, coalesce(round(open / orders, 3), 0) AS probability, c_acctbal / 97 AS monthly_charges
+    FROM customer LEFT JOIN (
         SELECT o_custkey, count(*) AS orders, count(*) FILTER (o_orderstatus <> 'F') AS open
         FROM orders GROUP BY 1) ON c_custkey = o_custkey"""
 _LOSS = f"SELECT *, round(probability * monthly_charges, 1) AS expected_loss FROM ({_SCORED})"

@@ -104,31 +104,31 @@ def user_records(customer: DataFrame) -> DataFrame:
     return customer.select(
         F.col("c_custkey").alias("id"),
         name.alias("username"),
-        F.when(balance.between(0, 200), F.lit("not-an-email"))
+        F.when(balance.between(0, 200), F.lit("at sign missing"))
         .when(balance.between(5000, 5200), F.lit(None))
         .otherwise(F.concat(name, F.lit("@example.com"))).alias("email"),
         (F.col("c_nationkey") * 3 - 2).alias("age"),
         (balance > 0).alias("is_active"),
         F.struct(
             F.col("c_mktsegment").alias("country"),
-            F.when(balance > 9000, "pro").otherwise("free").alias("tier"),
+            F.when(balance > 9000, "gold").otherwise("basic").alias("tier"),
             (balance / 95).alias("score"),
         ).alias("profile"),
         F.array_compact(F.array(
-            F.lit("data"), F.when(F.col("c_nationkey") > 12, F.lit("web")),
+            F.lit("all"), F.when(F.col("c_nationkey") > 12, F.lit("north")),
         )).alias("tags"),
     )
 
 
 def scored_customers(t: Tables) -> DataFrame:
     """Customers with the share of their orders that are not finished as a churn
-    probability. Orders are folded per customer before the join."""
+    probability, 0 without any. Orders are folded per customer before the join."""
     per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count("*").alias("orders"), F.count_if(F.col("o_orderstatus") != "F").alias("open")
     )
-    return t.customer.join(per_customer, "c_custkey").select(
+    return t.customer.join(per_customer, "c_custkey", "left").select(
         F.col("c_custkey").alias("customer_id"),
-        F.round(F.col("open") / F.col("orders"), 3).alias("probability"),
+        F.coalesce(F.round(F.col("open") / F.col("orders"), 3), F.lit(0.0)).alias("probability"),
         (F.col("c_acctbal") / 97).alias("monthly_charges"),
     )
 
@@ -176,16 +176,17 @@ def churn_customers(t: Tables) -> DataFrame:
         F.count_distinct("o_orderpriority").alias("services"),
         F.max("o_orderpriority").alias("payment"), F.min("o_orderstatus").alias("contract"),
     )
-    return t.customer.join(per_customer, "c_custkey").select(
+    # Customers without orders are kept: no spending, no services, and counted as gone.
+    return t.customer.join(per_customer, "c_custkey", "left").select(
         F.format_string("CUST-%05d", "c_custkey").alias("customer_id"),
         F.col("c_mktsegment").alias("gender"),
         (F.col("c_acctbal") > 7000).cast("int").alias("senior"),
-        F.floor(F.months_between(F.lit("2001-08-01").cast("date"), F.col("first").cast("date"))).cast("int")
+        F.coalesce(F.floor(F.months_between(F.lit("2001-08-01").cast("date"), F.col("first").cast("date"))), F.lit(0)).cast("int")
         .alias("tenure_months"),
         F.col("c_acctbal").alias("monthly_charges"),
-        F.when(F.col("c_acctbal") >= 0, F.col("spent")).alias("total_charges"),
-        "contract",
-        F.col("payment").alias("payment_method"),
-        F.col("services").cast("int").alias("num_services"),
-        (F.col("last") < F.lit("2001-01-01").cast("timestamp_ntz")).cast("int").alias("churn"),
+        F.when(F.col("c_acctbal") >= 0, F.coalesce("spent", F.lit(0.0))).alias("total_charges"),
+        F.coalesce("contract", F.lit("none")).alias("contract"),
+        F.coalesce("payment", F.lit("none")).alias("payment_method"),
+        F.coalesce("services", F.lit(0)).cast("int").alias("num_services"),
+        F.coalesce(F.col("last") < F.lit("2001-01-01").cast("timestamp_ntz"), F.lit(True)).cast("int").alias("churn"),
     )
