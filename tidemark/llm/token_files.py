@@ -17,6 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.session import stored
 from tidemark.llm.tokens import encoded
 
 #: Ids in a block; only a shard's last block is shorter.
@@ -140,26 +141,35 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("shard", "chunk", "n_ids", "planes").mapInArrow(run, "shard int, chunk int, ids array<long>")
 
 
+def _zero_bytes() -> list[list[int]]:
+    """Matrix k moves a CRC-32 over 2**k zero bytes; a row for each bit of the CRC."""
+    def squared(rows: list[int]) -> list[int]:
+        return [_times(rows, row) for row in rows]
+
+    step = [0xEDB88320, *(1 << i for i in range(31))]  # over one zero bit
+    powers = [squared(squared(squared(step)))]
+    while len(powers) < 48:
+        powers.append(squared(powers[-1]))
+    return powers
+
+
+def _times(rows: list[int], vector: int) -> int:
+    total = 0
+    for row in rows:
+        if vector & 1:
+            total ^= row
+        vector >>= 1
+    return total
+
+
+_MOVES = _zero_bytes()
+
+
 def crc_join(first: int, second: int, second_bytes: int) -> int:
     """CRC-32 of two byte strings in a row, from the CRC-32 of each and the second one's length."""
-    def times(matrix: list[int], vector: int) -> int:
-        total = 0
-        for row in matrix:
-            if not vector:
-                break
-            if vector & 1:
-                total ^= row
-            vector >>= 1
-        return total
-
-    step = [0xEDB88320, *(1 << i for i in range(31))]  # one zero bit
-    for _ in range(3):
-        step = [times(step, row) for row in step]  # squared: 2, 4, 8 bits
-    while second_bytes:
-        if second_bytes & 1:
-            first = times(step, first)
-        second_bytes >>= 1
-        step = [times(step, row) for row in step] if second_bytes else step
+    for k in range(second_bytes.bit_length()):
+        if second_bytes >> k & 1:
+            first = _times(_MOVES[k], first)
     return first ^ second
 
 
@@ -198,8 +208,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         head["ids_crc32"], head["n_tokens"] = crc, total
         return head
 
-    rows = files.select("shard", "n_ids", "planes", "seg_place", "seg_doc", "seg_start", "seg_n", "seg_first", "seg_last").mapInArrow(
-        decode, f"shard int, place long, doc_id {kind}, start long, n_tokens long, ids_crc32 long, first boolean, last boolean")
+    rows = stored(files.select("shard", "n_ids", "planes", "seg_place", "seg_doc", "seg_start", "seg_n", "seg_first", "seg_last").mapInArrow(
+        decode, f"shard int, place long, doc_id {kind}, start long, n_tokens long, ids_crc32 long, first boolean, last boolean"))
     inside = F.col("first") & F.col("last")
     crossing = rows.where(~inside).groupBy("shard", "place").applyInPandas(together, rows.schema)
     return rows.where(inside).unionByName(crossing).join(F.broadcast(_shard_bases(files)), "shard").select(

@@ -13,8 +13,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Words kept by a Python worker before it starts afresh; bounds its memory, never changes ids.
-CACHE_WORDS = 400_000
+#: Written words, and plain ones in lower case, that a Python worker keeps before it starts afresh.
+#: They bound its memory to about 200 MB and never change ids.
+CACHE_WORDS, CACHE_CORES = 400_000, 800_000
 #: The marker that a special token's text starts with, and the mark of a word's last token.
 SPECIAL = "<|"
 WORD_END = "</w>"
@@ -59,8 +60,10 @@ class Coder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
-        if len(self.words) + len(self.cores) > CACHE_WORDS:
-            self.words, self.cores = {"": b""}, {"": b""}
+        if len(self.words) > CACHE_WORDS:
+            self.words = {"": b""}
+        if len(self.cores) > CACHE_CORES:
+            self.cores = {"": b""}
         new = {w for w in words if w not in self.words}
         plain = {w: m.groups() for w in new if (m := _PLAIN.fullmatch(w))}
         self.learn_cores({part for parts in plain.values() for part in parts if part not in self.cores})
