@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.session import settle
+from tidemark.functions.session import stored
 from tidemark.operators.stats import roc_auc
 
 NUMERIC = ("senior", "tenure_months", "monthly_charges", "total_charges", "num_services")
@@ -29,11 +29,11 @@ def fit_churn(
     """Imputation, encoding and a random forest as one pipeline.
 
     Fitting reads the training rows many times and is bound by CPU, so they are
-    settled once, spread over all cores, with only the columns that are used.
+    written once, spread over all cores, with only the columns that are used.
     """
     spark = train.sparkSession
     spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    train = settle(train.select(*numeric, *category, label).repartition(spread))
+    train = stored(train.select(*numeric, *category, label).repartition(spread))
     filled = [f"{c}_filled" for c in numeric]
     index, flags = [f"{c}_index" for c in category], [f"{c}_flags" for c in category]
     return Pipeline(stages=[

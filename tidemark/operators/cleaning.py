@@ -32,11 +32,11 @@ def fix_negative(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Missing cells per column, as rows ``(column, missing)``, from one pass."""
+    """Missing cells per column and in all (the row whose column is null), as rows
+    ``(column, missing)``, from one pass."""
     names = list(columns or df.columns)
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).unpivot(
-        [], names, "column", "missing"
-    )
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
+    return counts.unpivot([], names, "column", "missing").rollup("column").agg(F.sum("missing").alias("missing"))
 
 
 def missing_cells(columns: Sequence[str]) -> Column:

@@ -1,7 +1,7 @@
 """Positions and running totals over a whole table.
 
 A window without ``partitionBy`` would pull every row into one task. Here rows
-are range-partitioned and sorted, settled once, and each partition's offset is
+are range-partitioned and sorted, written once, and each partition's offset is
 added from a table that has one row per partition.
 """
 
@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
-from tidemark.functions.session import settle
+from tidemark.functions.session import stored
 
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row index in its low bits
 
@@ -27,7 +27,7 @@ def _spread(df: DataFrame, order_by: Sequence[Column], sums: Sequence[str] = ())
             *df.schema.fields,
             *[T.StructField(f"_{c}_inside", df.schema[c].dataType) for c in sums],
         ]))
-    return settle(placed.withColumn("_mid", F.monotonically_increasing_id())).select(
+    return stored(placed.withColumn("_mid", F.monotonically_increasing_id())).select(
         *placed.columns,
         F.shiftright("_mid", _INDEX_BITS).alias("_part"),
         F.col("_mid").bitwiseAND((1 << _INDEX_BITS) - 1).alias("_place"),

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.session import settle
+from tidemark.functions.session import stored
 from tidemark.operators.joins import null_safe_join
 from tidemark.operators.ordering import number_rows
 
@@ -98,7 +98,7 @@ def rolling_alerts(
             null_safe_join(breaches, waits, keys, "left") if keys
             else breaches.withColumn("_free", waits.agg(F.max("_free")).scalar())
         ).where(F.col("_free").isNull() | (F.col("rn") >= F.col("_free")))
-    breaches = settle(breaches.select(*rates.columns))
+    breaches = stored(breaches.select(*rates.columns))
     places = breaches.select(
         _div(F.col("rn"), block_rows).alias("block"), "rn",
         F.to_json(F.struct(*keys)).alias("key") if keys else F.lit("").alias("key"),

@@ -1,27 +1,70 @@
-"""Churn model queries. A fitted forest has no SQL form, so the two that fit one carry no check."""
+"""Churn model queries. SQL cannot fit a forest; it checks all that follows from the scores."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from tidemark.functions.session import fresh_dir
+from tidemark.functions import texts
+from tidemark.functions.session import fresh_dir, stored
 from tidemark.operators import churn, priority
+from tidemark.operators.stats import roc_auc
 from tidemark.plans.registry import query
 from tidemark.plans.tables import Tables, churn_customers
 from tidemark.sources.models import load_model, save_model
 
 
-@query("fit_churn_score")
+_CUSTOMERS = """
+    SELECT 'CUST-' || lpad(c_custkey::varchar, 5, '0') AS customer_id, c_acctbal AS monthly_charges, c_mktsegment AS gender,
+           coalesce(min(o_orderstatus), 'none') AS contract, coalesce(max(o_orderpriority), 'none') AS payment_method,
+           count(DISTINCT o_orderpriority) AS num_services
+    FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_acctbal, c_mktsegment"""
+
+
+@query("fit_churn_score", f"""
+    SELECT *, true AS in_range, true AS three_places, true AS loaded_as_fitted, true AS loss_follows, true AS tier_follows
+    FROM ({_CUSTOMERS})""")
 def fit_churn_score(t: Tables) -> DataFrame:
-    """Fit, save, load, then score every customer in order of expected loss."""
+    """Fit, save, load, then score every customer: what must hold for the scores, the losses and the tiers."""
+    customers, path = churn_customers(t), fresh_dir(t.spark, "model")
+    fitted = churn.fit_churn(churn.hold_out(customers, "customer_id")[0])
+    save_model(fitted, path)
+    ranked = priority.retention_priority(churn.score(load_model(path), customers))
+    own = churn.score(fitted, customers).select("customer_id", F.col("probability").alias("own"))
+    p, loss, tier = F.col("probability"), F.col("expected_loss"), F.col("tier")
+    high, middle, low = texts.TIERS
+    return ranked.join(own, "customer_id").select(
+        "customer_id", "monthly_charges", "gender", "contract", "payment_method", "num_services",
+        p.between(0, 1).alias("in_range"), (p == F.round(p, 3)).alias("three_places"), (p == F.col("own")).alias("loaded_as_fitted"),
+        (F.abs(loss - p * F.col("monthly_charges")) <= 0.0500001).alias("loss_follows"),
+        (((tier == high) == (p >= 0.6)) & ((tier == low) == (p < 0.35)) & tier.isin(high, middle, low)).alias("tier_follows"))
+
+
+@query("retention_top")
+def retention_top(t: Tables) -> DataFrame:
+    """The month's 200 customers scored by a saved model, and the ten to call first."""
     customers, path = churn_customers(t), fresh_dir(t.spark, "model")
     save_model(churn.fit_churn(churn.hold_out(customers, "customer_id")[0]), path)
-    return priority.retention_list(churn.score(load_model(path), customers))
+    month = churn.take_sample(customers, "customer_id", 200)
+    return priority.call_list(churn.score(load_model(path), month), 10)
 
 
-@query("evaluate_churn")
+@query("evaluate_churn", """
+    SELECT count(*) AS customers, true AS sides_add_up, true AS auc_in_range, true AS auc_as_pairs FROM customer""")
 def evaluate_churn(t: Tables) -> DataFrame:
-    """ROC-AUC on customers held out of the fit."""
-    train, test = churn.hold_out(churn_customers(t), "customer_id")
-    return churn.evaluate(churn.fit_churn(train), test)
+    """ROC-AUC on customers held out of the fit, against the share of rightly ordered pairs counted per score."""
+    customers = churn_customers(t)
+    train, test = churn.hold_out(customers, "customer_id")
+    scored = stored(churn.score(churn.fit_churn(train), test).select("probability", "churn"))
+    auc = roc_auc(scored, "probability", "churn")
+    # Scores have three places, so there are at most 1,001 of them to order.
+    per_score = scored.groupBy("probability").agg(F.sum("churn").alias("bad"), F.sum(1 - F.col("churn")).alias("good"))
+    below = F.coalesce(F.sum("good").over(Window.orderBy("probability").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pairs = per_score.withColumn("below", below).agg(
+        F.sum(F.col("bad") * (F.col("below") + F.col("good") / 2)).alias("right"), (F.sum("bad") * F.sum("good")).alias("pairs"))
+    rows = customers.agg(F.count("*").alias("customers")).crossJoin(auc).crossJoin(pairs)  # one row each
+    return rows.select(
+        "customers", (F.lit(train.count()) + F.col("positives") + F.col("negatives") == F.col("customers")).alias("sides_add_up"),
+        F.coalesce(F.col("auc").between(0, 1), F.lit(True)).alias("auc_in_range"),
+        F.coalesce(F.abs(F.col("auc") - F.try_divide(F.col("right"), F.col("pairs"))) <= 1e-9, F.lit(True)).alias("auc_as_pairs"))
 
 
 @query("take_sample", """

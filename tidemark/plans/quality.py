@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
-from tidemark.operators import cleaning, nested, validation
+from tidemark.operators import cleaning, nested, report, validation
 from tidemark.plans.registry import query
 from tidemark.plans.tables import Tables, raw_sales, store_products, user_records
 from tidemark.sources import readers, sinks
@@ -55,7 +55,8 @@ def normalise_types(t: Tables) -> DataFrame:
 
 @query("null_profile", f"""
     WITH typed AS ({_TYPED}) """ + " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count(*) - count({c}) AS missing FROM typed""" for c in readers.SALES))
+        f"""SELECT '{c}' AS "column", count(*) - count({c}) AS missing FROM typed""" for c in readers.SALES)
+    + f" UNION ALL SELECT NULL, {' + '.join(f'count(*) - count({c})' for c in readers.SALES)} FROM typed")
 def null_profile(t: Tables) -> DataFrame:
     return cleaning.null_profile(_typed(t))
 
@@ -95,6 +96,23 @@ def clean_report(t: Tables) -> DataFrame:
     return cleaning.clean_report(raw, clean, _FILLED, "quantity")
 
 
+@query("clean_sales_report", f"""
+    WITH typed AS ({_TYPED}), fixed AS ({_FIXED}), imputed AS ({_IMPUTED}),
+         bounds AS ({_BOUNDS.format(source="imputed")}), clean AS ({_CLIPPED.format(source="imputed")}),
+         totals AS (SELECT category AS g, count(*) AS orders, sum(cast(unit_price AS decimal(12,2))) AS price_sum,
+                           sum(quantity * cast(unit_price AS decimal(12,2)) * (1 - cast(discount AS decimal(4,2)))) AS total
+                    FROM clean GROUP BY 1)
+    SELECT row_number() OVER (ORDER BY total DESC, g) AS rank, g AS "group", orders AS "count",
+           cast(price_sum AS double) / orders AS avg_price, cast(total AS double) AS total,
+           round(cast(total AS double) / cast(max(total) OVER () AS double) * 100, 1) AS share_pct
+    FROM totals""")
+def clean_sales_report(t: Tables) -> DataFrame:
+    """A raw feed typed, repaired, imputed and clipped, and then reported."""
+    fixed = cleaning.fix_negative(_typed(t), "unit_price")
+    clean = cleaning.clip_iqr(cleaning.impute(fixed, ["unit_price"], ["region"]), "quantity")
+    return report.sales_report(report.fold_sales(clean, "category"), "category")
+
+
 _PRODUCTS = """
     SELECT cast(p_partkey AS varchar) AS product_id,
            CASE WHEN p_brand = 'Brand#7' THEN ' ' ELSE p_name END AS product_name,
@@ -232,6 +250,25 @@ def parquet_round_trip(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select(*part.columns)
 
 
+@query("products_both_ways", f"""
+    SELECT CAST(product_id AS bigint) AS product_id, product_name, price, stock, tags, 2 AS copies
+    FROM (SELECT *, replace(product_name, ' ', '|') AS tags FROM ({VALID}))""")
+def products_both_ways(t: Tables) -> DataFrame:
+    """Valid products flattened, written as CSV and as Parquet, read back from both and matched."""
+    valid = validation.validate_products(store_products(t.part))[0]
+    flat = nested.flatten_products(valid.select(
+        F.col("product_id").cast("bigint").alias("id"), F.col("product_name").alias("name"), "category", "price",
+        F.col("stock").alias("quantity"), F.split("product_name", " ").alias("tags"),
+        F.struct(F.lit(1).alias("id"), F.lit("shop").alias("region")).alias("seller")))
+    csv, parquet = fresh_dir(t.spark, "csv"), fresh_dir(t.spark, "parquet")
+    sinks.write_csv(flat, csv)
+    sinks.write_parquet(flat, parquet, ["category"])
+    schema = ", ".join(f"{name} {kind}" for name, kind in flat.dtypes)
+    back = readers.read_csv(t.spark, csv, schema).unionByName(t.spark.read.parquet(parquet).select(*flat.columns))
+    return back.groupBy(F.col("id").alias("product_id"), F.col("name").alias("product_name"), "price",
+                        F.col("quantity").alias("stock"), "tags").agg(F.count("*").alias("copies"))
+
+
 @query("api_scan", """
     SELECT c_custkey AS id, lower(replace(c_name, '#', '_')) AS username, c_mktsegment AS country,
            CASE WHEN c_nationkey > 12 THEN 2 ELSE 1 END AS tag_count

@@ -1,6 +1,6 @@
-"""Streaming forms over the events and lineitem files."""
+"""Streaming forms over events and lineitem, each fed in several micro-batches."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
@@ -13,8 +13,24 @@ from tidemark.streaming import ingest, logs, monitor
 from tidemark.streaming.tables import append_to, finish, latest, refresh_to
 
 
-def _events(t: Tables, max_files: int | None = None) -> DataFrame:
-    return read_log_stream(t.spark, t.stream_path("events"), t.events.schema, max_files=max_files)
+BATCHES = 4
+
+
+def _in_batches(df: DataFrame, place: Column) -> DataFrame:
+    """``df`` as a stream of ``BATCHES`` micro-batches, cut at quantiles of ``place``: each slice is
+    written to a feed folder after the one before, in as many files as one trigger takes."""
+    spark, path = df.sparkSession, fresh_dir(df.sparkSession, "feed")
+    files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // BATCHES)
+    cuts = df.agg(F.percentile_approx(place, [k / BATCHES for k in range(1, BATCHES)], 10_000)).first()[0] or []
+    edges = [None, *cuts, None]
+    for low, high in zip(edges, edges[1:]):
+        slice_ = df.where((F.lit(True) if low is None else place > low) & (F.lit(True) if high is None else place <= high))
+        slice_.repartition(files).write.mode("append").parquet(path)
+    return read_log_stream(spark, path, df.schema, max_files=files)
+
+
+def _events(t: Tables) -> DataFrame:
+    return _in_batches(t.events, F.unix_micros(F.col("ts").cast("timestamp")))
 
 
 @query("stream_log_summary", """
@@ -80,7 +96,7 @@ def stream_monitor(t: Tables) -> DataFrame:
           FROM lineitem GROUP BY 1)""")
 def refresh_report(t: Tables) -> DataFrame:
     path = fresh_dir(t.spark, "report")
-    lines = read_log_stream(t.spark, t.stream_path("lineitem"), t.lineitem.schema)
+    lines = _in_batches(t.lineitem, F.col("l_orderkey"))
     finish(logs.refresh_report(sales_lines(lines, "l_returnflag"), "l_returnflag", path))
     return latest(t.spark, path)
 
@@ -99,7 +115,9 @@ def parse_event(rows: DataFrame, attempt: int) -> DataFrame:
     FROM events""")
 def ingest_events(t: Tables) -> DataFrame:
     path = fresh_dir(t.spark, "ingest")
-    finish(ingest.ingest(_events(t, max_files=8), parse_event, path))
+    events = _events(t)
+    finish(ingest.ingest(events, parse_event, path))
+    ingest.retry(t.spark, events.schema, parse_event, path)
     columns = ["event_id", "attempt"]
     return (
         ingest.ingested(t.spark, path).select(*columns, F.lit("ok").alias("outcome"), "k")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.session import discard
 from tidemark.streaming.tables import DRAIN
 
 
@@ -18,24 +20,17 @@ def ingest(
     max_attempts: int = 3,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Parse each batch; give rows that fail further attempts; set aside the rest.
+    """Parse each batch; give rows that fail another attempt in a later batch; set aside the rest.
 
     ``parse(rows, attempt)`` adds a boolean ``ok`` and keeps the input columns. How
     much a batch admits is bounded by the reader (``max_files`` of ``read_log_stream``).
-    Each attempt is written once, split by ``ok``; a later attempt reads back only
-    the failures. A replayed batch rewrites the folders of all its attempts, also
-    those that now have nothing to do, so no row is doubled or left over.
+    Failures wait in ``<path>/pending`` for the next batch, so that a source that is down
+    for a while costs attempts spread over time; ``retry`` goes on when the stream has none.
+    A replayed batch rewrites its folders from the pending rows it started from.
     """
-    columns = stream.columns
-
     def step(batch: DataFrame, batch_id: int) -> None:
-        pending = batch
-        for attempt in range(1, max_attempts + 1):
-            folder = f"{path}/attempts/batch={batch_id}/attempt={attempt}"
-            parsed = parse(pending, attempt).withColumn("ok", F.coalesce(F.col("ok"), F.lit(False)))
-            parsed.write.mode("overwrite").partitionBy("ok").parquet(folder)
-            written = batch.sparkSession.read.schema(parsed.schema).parquet(folder)
-            pending = written.where(~F.col("ok")).select(*columns)
+        _attempt(batch.sparkSession, batch, batch_id, parse, path, max_attempts)
+        discard(batch.sparkSession, f"{path}/pending/{batch_id - 2}")
 
     return (
         stream.writeStream.foreachBatch(step)
@@ -44,6 +39,33 @@ def ingest(
     )
 
 
+def _attempt(spark: SparkSession, fresh: DataFrame, batch_id: int, parse, path: str, max_attempts: int) -> None:
+    """First attempts of ``fresh`` rows and further ones of those that wait."""
+    columns = fresh.columns
+    tries = [(fresh, 1)]
+    if batch_id > 0:
+        schema = T.StructType([*fresh.schema.fields, T.StructField("attempt", T.IntegerType())])
+        waiting = spark.read.schema(schema).parquet(f"{path}/pending/{batch_id - 1}")
+        tries += [(waiting.where(F.col("attempt") == k).select(*columns), k) for k in range(2, max_attempts + 1)]
+    parsed = [
+        parse(rows, k).withColumns({"ok": F.coalesce(F.col("ok"), F.lit(False)), "attempt": F.lit(k)}) for rows, k in tries
+    ]
+    tried, folder = reduce(DataFrame.unionByName, parsed), f"{path}/attempts/batch={batch_id}"
+    tried.write.mode("overwrite").partitionBy("ok").parquet(folder)
+    failed = spark.read.schema(tried.schema).parquet(folder).where(~F.col("ok") & (F.col("attempt") < max_attempts))
+    failed.select(*columns, (F.col("attempt") + 1).alias("attempt")).write.mode("overwrite").parquet(f"{path}/pending/{batch_id}")
+
+
+def retry(spark: SparkSession, schema: T.StructType, parse, path: str, max_attempts: int = 3) -> None:
+    """Try the rows that still wait after a stream has ended, until each has parsed or used up its attempts.
+
+    ``schema`` is the stream's. The stream must not go on from the same ``path`` afterwards.
+    """
+    last = spark.read.parquet(f"{path}/attempts").agg(F.max("batch")).first()[0]
+    for batch_id in range(last + 1, last + max_attempts):
+        _attempt(spark, spark.createDataFrame([], schema), batch_id, parse, path, max_attempts)
+
+
 def _attempts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/attempts").withColumn("ok", F.col("ok").cast("boolean"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.session import scratch
 from tidemark.operators.joins import null_safe_join
 from tidemark.operators.rolling import CHUNK_ROWS, rolling_alerts, rolling_error_rate
 from tidemark.streaming.tables import DRAIN
@@ -34,7 +35,8 @@ def stream_monitor(
     """Write alerts to ``<path>/alerts`` while rows flow in.
 
     Within a batch rows are taken in ``order_by`` order; batches follow each other as
-    they arrive. State is the last n-1 rows and the distance to the last alert per key.
+    they arrive. State is the last n-1 rows of every key and the distance to its last alert, while that
+    is within the cool-down. Tables that a batch needs in between are removed when it ends.
     Batches write it to two folders in turn, so a replayed batch finds the state it
     started from and old state does not pile up.
     """
@@ -42,6 +44,10 @@ def stream_monitor(
     columns = list(dict.fromkeys([*keys, *order_by, *keep]))
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            advance(batch, batch_id)
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before, after = f"{path}/state/{(batch_id + 1) % 2}", f"{path}/state/{batch_id % 2}"
         rows = batch.select(*columns, F.coalesce(error, F.lit(False)).alias("error"), F.lit(True).alias("fresh"))
@@ -79,7 +85,8 @@ def stream_monitor(
         else:
             end = ends.agg(F.max("end")).scalar()
             since, tail = fired.withColumn("end", end), rates.withColumn("end", end)
-        since.where(F.col("rn").isNotNull()).select(
+        # An alert further back than the cool-down silences nothing any more.
+        since.where(F.col("end") - F.col("rn") < cooldown).select(
             *keys, (F.col("end") - F.col("rn")).alias("since")
         ).write.mode("overwrite").parquet(f"{after}/last")
         tail.where(F.col("rn") > F.col("end") - reach).select(*rows.columns).write.mode(

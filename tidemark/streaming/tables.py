@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.session import discard, scratch
+
 DRAIN = {"availableNow": True}
 
 
@@ -27,9 +29,12 @@ def refresh_to(
     finish: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
     """On each trigger write the whole current aggregate, passed through ``finish``,
-    as a new version. A replayed batch rewrites its own version."""
+    as a new version. A replayed batch rewrites its own version. The version before it
+    stays for readers that have begun; older ones are removed."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        finish(batch).write.mode("overwrite").parquet(f"{path}/data/version={batch_id}")
+        with scratch(batch.sparkSession):
+            finish(batch).write.mode("overwrite").parquet(f"{path}/data/version={batch_id}")
+        discard(batch.sparkSession, f"{path}/data/version={batch_id - 2}")
 
     return (
         result.writeStream.outputMode("complete").foreachBatch(write)
