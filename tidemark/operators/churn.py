@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.session import stored
 from tidemark.operators.stats import roc_auc
 
+# The column names of the churn feed.
 NUMERIC = ("senior", "tenure_months", "monthly_charges", "total_charges", "num_services")
 CATEGORY = ("gender", "contract", "payment_method")
 

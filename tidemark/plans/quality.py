@@ -125,6 +125,7 @@ _PRODUCTS = """
            CASE WHEN p_type = 'ECONOMY' THEN 700.0::double ELSE p_retailprice END AS last_price
     FROM part"""
 VALID = f"SELECT * FROM ({_PRODUCTS}) WHERE length(trim(product_name)) >= 1 AND price > 0 AND stock >= 0"
+# The messages and the advice.
 INVALID = f"""
     WITH products AS ({_PRODUCTS}), failed AS (
         SELECT *, 'product_name' AS error_field, 'String should have at least 1 character' AS error_message,

@@ -14,6 +14,7 @@ _METRICS = f"""
            CASE WHEN daily_sales = 0 THEN 999.0::double
                 ELSE round(stock / nullif(daily_sales, 0), 1) END AS days_of_stock
     FROM ({VALID})"""
+# Levels, reasons and actions.
 _ALERTS = f"""
     WITH m AS ({_METRICS})
     SELECT 'DATA-' || product_id AS alert_id, '데이터 오류' AS level, product_name AS product,
