@@ -75,10 +75,13 @@ def test_one_stream_without_keys(spark):
     assert sorted(r[0] for r in rows(alerts, "seq")) == [seq for seq, _ in want_alerts]
 
 
-def test_chunks_must_hold_a_window(spark):
-    df = spark.createDataFrame([(1,)], "seq INT")
-    with pytest.raises(ValueError):
-        rolling.rolling_error_rate(df, F.lit(True), ["seq"], 300, chunk_rows=298)
+def test_windows_and_cool_downs_beyond_a_chunk_or_block(spark):
+    df = spark.range(1000).withColumnRenamed("id", "seq")
+    rates = rolling.rolling_error_rate(df, F.col("seq") % 2 == 0, ["seq"], 300, chunk_rows=5)
+    got = {r["seq"]: r["window_errors"] for r in rates.collect()}
+    assert got == {s: sum(1 for x in range(max(0, s - 299), s + 1) if x % 2 == 0) for s in range(1000)}
+    alerts = rolling.rolling_alerts(rates, 300, 0.4, 350, block_rows=7)
+    assert sorted(r[0] for r in rows(alerts, "seq")) == [299, 649, 999]
 
 
 def test_handing_on_agrees_with_walking():
