@@ -71,7 +71,9 @@ def index(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
     ``key`` stands for the text, so copies of a text have the same postings.
     """
-    tokens = docs.select(text_key(F.col("text")).alias("key"), F.posexplode(_parts(F.col("text"))).alias("pos", "term"))
+    # Two steps: beside posexplode the key would be computed anew for every token.
+    parts = docs.select(text_key(F.col("text")).alias("key"), _parts(F.col("text")).alias("parts"))
+    tokens = parts.select("key", F.posexplode("parts").alias("pos", "term"))
     return stored(tokens.join(sized(vocabulary, BROADCAST_TERMS), "term").select("term", "key", "pos"))
 
 
