@@ -121,10 +121,9 @@ class Collection:
     def sorted_suffixes(self, first: int, stop: int) -> np.ndarray:
         """Suffix array of the strings that fill ``first`` to ``stop``, to a depth of LENGTH symbols at least."""
         rank, step, depth = self.codes[first:stop].astype(np.int64), self.moved(self.stride)[first:stop] - first, self.stride
-        order = np.argsort(self.codes[first:stop], kind="stable")
         while depth < LENGTH:
             key = rank * (stop - first + (1 << 16)) + rank[step]
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             sorted_key = key[order]
             rank = np.empty(stop - first, dtype=np.int64)
             rank[order] = np.cumsum(np.concatenate(([0], sorted_key[1:] != sorted_key[:-1])))
@@ -136,9 +135,10 @@ def merged(strings: list[bytes], shard_bytes: int = SHARD_BYTES) -> tuple[Collec
     """All suffixes in order to LENGTH symbols, and where a suffix differs from the one before it.
 
     Each shard has its suffix array and its transform, the symbols ahead of its sorted suffixes. The
-    interleave of the shards starts shard by shard. A round reads the transforms in the order of the
-    interleave and deals the shard numbers out by symbol, stably: after t rounds it is right for t
-    strides of symbols. A border between suffixes first shows in the round of their common prefix.
+    interleave, kept as places in the shards' transforms, starts shard by shard. A round reads the
+    transforms in its order and deals the entries out by symbol, stably, each to where its shard's
+    last-to-first mapping leads: after t rounds the interleave is right for t strides of symbols. A
+    border between suffixes first shows in the round of their common prefix.
     """
     all_of = Collection(strings)
     n = len(all_of.symbols)
@@ -151,19 +151,20 @@ def merged(strings: list[bytes], shard_bytes: int = SHARD_BYTES) -> tuple[Collec
     cuts.append(n)
     suffixes = np.concatenate([all_of.sorted_suffixes(a, b) for a, b in zip(cuts, cuts[1:])])
     transform = all_of.codes[all_of.before[suffixes]]
-    interleave = np.repeat(np.arange(len(cuts) - 1, dtype=np.uint16), np.diff(cuts))
+    place = np.empty(n, dtype=np.int32)
+    place[suffixes] = np.arange(n, dtype=np.int32)
+    first = place[all_of.before[suffixes]]  # last-to-first mapping; shards never mix, as strings are circles
     border = np.zeros(n, dtype=bool)
     border[:1] = True
-    at = np.arange(n)  # place in the transforms of each entry of the interleave
+    interleave = np.arange(n, dtype=np.int32)
     for _ in range(LENGTH // all_of.stride):
-        ahead = transform[at]
+        ahead = transform[interleave]
         order = np.argsort(ahead, kind="stable")
         block = np.cumsum(border, dtype=np.int32)[order]
         ahead = ahead[order]
         border[1:] = (ahead[1:] != ahead[:-1]) | (block[1:] != block[:-1])
-        interleave = interleave[order]
-        at[np.argsort(interleave, kind="stable")] = np.arange(n)
-    return all_of, suffixes[at], border
+        interleave = first[interleave[order]]
+    return all_of, suffixes[interleave], border
 
 
 def later_strings(strings: list[bytes], spans: list[int], shard_bytes: int = SHARD_BYTES) -> list[tuple[int, int, int]]:
@@ -219,14 +220,15 @@ def _texts_of(rows: DataFrame, docs: DataFrame) -> DataFrame:
 def covered(rows: DataFrame) -> DataFrame:
     """(doc, lo, hi): byte ranges that strings which also start earlier cover; ranges of a document may overlap."""
     every = _cells(rows)
-    common = every.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Both counts are written before they are joined, so that a hot anchor's side of the join can be split.
+    common = stored(every.groupBy("anchor").count().where("count > 1").select("anchor"))
     shared = stored(every.join(common, "anchor", "left_semi"))
     classes = stored(shared.groupBy("anchor", "content").agg(
         F.min(F.struct("doc", "lo", "span")).alias("first"), F.count(F.lit(1)).alias("n")))
     first = shared.join(classes.where("n > 1").select("anchor", "content", "first"), ["anchor", "content"])
     whole = first.where(F.struct("doc", "lo", "span") != F.col("first")).select("doc", "lo", (F.col("lo") + F.col("span") + LENGTH).alias("hi"))
 
-    crowd = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_cells")).where("n_cells > 1")
+    crowd = stored(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_cells")).where("n_cells > 1"))
     open_cells = stored(classes.join(crowd, "anchor").select("anchor", "n_cells", "first.*"))
     lists = open_cells.groupBy("doc").agg(F.collect_list(F.struct("anchor", "n_cells", "lo", "span")).alias("cells"))
     texts = _texts_of(rows.select("doc", "raw").dropDuplicates(["doc"]) if _is_struct(rows) else rows.select("doc", "raw"), open_cells.select("doc").distinct())
