@@ -91,10 +91,23 @@ class Trie:
                     node = node.setdefault(letter, {})
                 node[mark] = entry
         # With one edit, one half of an entry stays whole: at the word's start, or at its end, or for a stem near its place.
-        halves = [re.escape(e[:len(e) // 2]) for e in [*words, *stems]]
-        ends = [re.escape(e[len(e) // 2:]) + "$" for e in words]
-        near = [f".{{{len(e) // 2 - 1},{len(e) // 2 + 1}}}{re.escape(e[len(e) // 2:])}" for e in stems]
-        self.likely = re.compile("|".join([f"^(?:{'|'.join(halves)})", *(f".*{e}" for e in ends), *(f"^{n}" for n in near)]) if halves else "(?!)").search
+        self.words, self.stems = frozenset(words), tuple(stems)
+        loose = [e for e in words if len(e) >= FUZZY_LETTERS and e not in exact]
+        self.by_size = {
+            n: (tuple(e[:len(e) // 2] for e in loose if abs(len(e) - n) < 2), tuple(e[len(e) // 2:] for e in loose if abs(len(e) - n) < 2))
+            for n in {len(e) + by for e in loose for by in (-1, 0, 1)}}
+        loose = [s for s in stems if len(s) >= FUZZY_LETTERS and s not in exact]
+        self.heads = tuple(s[:len(s) // 2] for s in loose)
+        places = {len(s) // 2 + by for s in loose for by in (-1, 0, 1)}
+        self.inner = [(tuple(s[len(s) // 2:] for s in loose if abs(len(s) // 2 - at) < 2), at) for at in sorted(places)]
+
+    def likely(self, word: str) -> bool:
+        """False only for words without an entry within one edit."""
+        if word in self.words or word.startswith(self.stems):
+            return True
+        heads, tails = self.by_size.get(len(word), ((), ()))
+        return (word.startswith(heads) or word.endswith(tails) or word.startswith(self.heads)
+                or any(word.startswith(tails, at) for tails, at in self.inner))
 
     def match(self, word: str, edits: int = 1) -> tuple[str, int] | None:
         """The entry nearest to ``word`` and the edits between them, or None. Short entries match only as they are."""
