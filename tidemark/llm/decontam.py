@@ -77,7 +77,7 @@ def index(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return stored(tokens.join(sized(vocabulary, BROADCAST_TERMS), "term").select("term", "key", "pos"))
 
 
-def matches(postings: DataFrame, terms: DataFrame, slack: int = 2, lists: int = 3) -> DataFrame:
+def matches(postings: DataFrame, terms: DataFrame, slack: int = 2, lists: int = 2) -> DataFrame:
     """(key, window, start, exact): where windows occur in the indexed texts.
 
     ``exact`` marks a phrase: every term at its place. Otherwise the match is one of proximity: the
@@ -92,12 +92,16 @@ def matches(postings: DataFrame, terms: DataFrame, slack: int = 2, lists: int =
         "lists": F.least(F.count(F.lit(1)).over(Window.partitionBy("window")), F.lit(lists))}).where(~F.col("missing"))
     ranked = stored(ranked.select("window", "place", "term", "rank", "lists"))
     shifts = F.explode(F.sequence(F.lit(-slack), F.lit(slack)))
-    rare = postings.join(sized(ranked.where(F.col("rank") <= F.col("lists")), BROADCAST_TERMS), "term")
-    starts = rare.withColumn("off", F.when(F.col("rank") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(-slack), F.lit(slack)))).select(
-        "key", "window", "rank", "lists", F.explode("off").alias("off"), (F.col("pos") - F.col("place")).alias("at"))
-    starts = starts.groupBy("key", "window", (F.col("at") + F.col("off")).alias("start")).agg(
-        F.bit_or(F.expr("shiftleft(1, rank - 1)")).alias("seen"), F.max("lists").alias("lists"))
-    left = stored(starts.where(F.expr("seen = shiftleft(1, lists) - 1")).select("key", "window", "start"))
+    at = (F.col("pos") - F.col("place")).alias("at")
+    looked_up = lambda wanted: postings.join(sized(ranked.where(wanted), BROADCAST_TERMS), "term")
+    first = stored(looked_up(F.col("rank") == 1).select("key", "window", "lists", at).distinct().withColumnRenamed("at", "start"))
+    # The longer lists are combined as they are; only the shortest is spread over the places that may be off.
+    others = looked_up((F.col("rank") > 1) & (F.col("rank") <= F.col("lists"))).groupBy("key", "window", at).agg(
+        F.bit_or(F.expr("shiftleft(1, rank - 1)")).alias("seen"))
+    spread = first.withColumn("at", F.explode(F.sequence(F.col("start") - slack, F.col("start") + slack)))
+    met = others.join(spread, ["key", "window", "at"]).groupBy("key", "window", "start").agg(
+        F.bit_or("seen").alias("seen"), F.max("lists").alias("lists")).where(F.expr("seen = shiftleft(1, lists) - 2"))
+    left = stored(met.select("key", "window", "start").unionByName(first.where("lists = 1").select("key", "window", "start")))
 
     wanted = left.join(ranked.select("window", "place", "term"), "window").withColumn("off", shifts).select(
         "key", "window", "start", "place", "off", "term", (F.col("start") + F.col("place") + F.col("off")).alias("pos"))
