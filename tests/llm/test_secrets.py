@@ -93,3 +93,22 @@ def test_nothing_to_learn_from(spark):
     assert secrets.learn(docs) is None and secrets.learn(docs.limit(0)) is None
     assert [r.spans for r in secrets.digest(secrets.find(docs, None)).collect()] == ["", ""]
     assert secrets.find(docs.limit(0), None).collect() == []
+
+
+def test_texts_that_only_mention_secrets_do_not_crowd_out_those_that_hold_one(spark):
+    mentions = [(i, f"the token of text {i} stays a secret") for i in range(400)]
+    holding = [(1000 + i, text) for i, text in corpus(6) if "password" in text]
+    assert secrets.learn(documents(spark, mentions + holding), fit_texts=2) is not None
+
+
+def test_copies_of_a_text_count_once(spark):
+    from pyspark.sql import functions as F
+
+    texts = [f"plain text number {i}" for i in range(12)]
+    rows = documents(spark, [(i, text) for i, text in enumerate(texts)]).select("text", F.xxhash64("text", F.lit(5)).alias("order"))
+    first = rows.orderBy("order").limit(1)
+    many = rows.unionByName(first.crossJoin(spark.range(50)).drop("id"))
+    assert secrets._fit_hashes(many, 6) == [r.order for r in rows.orderBy("order").limit(6).collect()]
+    # The whole way to a field: the copies must not take all the places without a span.
+    holding = documents(spark, corpus(6)).select("text", F.xxhash64("text", F.lit(5)).alias("order"))
+    assert len(secrets._fit_hashes(many.unionByName(holding), 6)) == 2 + 6

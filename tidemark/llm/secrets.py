@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.session import stored
+
 KINDS = ("assign", "access", "hex")
 #: Kind of the spans that the field adds.
 LEARNT = "learnt"
@@ -241,15 +243,26 @@ def _training(text: str) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarr
         yield shapes[cut], roles[cut], where, tags[cut]
 
 
+def _fit_hashes(rows: DataFrame, fit_texts: int) -> list[int]:
+    """Hashes (``order``) of the texts to train on: the smallest of different texts with a base span, and as many of others."""
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marked = [bool(base_spans(t)) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["order"], pa.array(marked, pa.bool_())], names=["order", "marked"])
+
+    # A text that fails the cheap test has no base span.
+    likely = F.col("text").rlike("(?i)passw|secret|token|api_?key|AKIA|[0-9a-f]{16}")
+    known = rows.where(likely).select("order", "text").mapInArrow(judged, "order long, marked boolean")
+    each = stored(known.unionByName(rows.where(~likely).select("order", F.lit(False).alias("marked"))).distinct())
+    return [r.order for marked in (True, False) for r in each.where(F.col("marked") == marked).orderBy("order").limit(fit_texts).select("order").collect()]
+
+
 def learn(docs: DataFrame, fit_texts: int = FIT_TEXTS, seed: int = 5) -> Field | None:
     """A field trained on base spans of ``docs``; None if no text has one."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(text.alias("text"), F.xxhash64(text, F.lit(seed)).alias("order"))
-    # Texts that may hold a secret, and texts of any kind; only their hashes come to the driver.
-    likely = rows.where(text.rlike("(?i)passw|secret|token|api_?key|AKIA|[0-9a-f]{16}"))
-    plain = rows.orderBy("order").select("order").limit(fit_texts)
-    marked = likely.select("order").distinct().orderBy("order").limit(fit_texts)
-    wanted = [r.order for r in marked.union(plain).distinct().collect()]
+    # Only hashes of texts come to the driver.
+    wanted = _fit_hashes(rows, fit_texts)
     if not wanted:
         return None
     chosen = rows.sparkSession.createDataFrame([(x,) for x in wanted], "order long")
