@@ -112,3 +112,19 @@ def test_copies_of_a_text_count_once(spark):
     # The whole way to a field: the copies must not take all the places without a span.
     holding = documents(spark, corpus(6)).select("text", F.xxhash64("text", F.lit(5)).alias("order"))
     assert len(secrets._fit_hashes(many.unionByName(holding), 6)) == 2 + 6
+
+
+def test_a_secret_at_a_text_s_start_is_trained_on_whatever_its_shape(spark):
+    # Twenty different sequences that open with a short plain word, the least shape.
+    kinds = ["is", "Overly", "ABSOLUTELY", "internationally"]
+    odd = " ".join(f"so it is {kinds[i % 4]} {kinds[i // 4 % 4]} {kinds[i // 16 % 4]} so is {i}" for i in range(40))
+    docs = documents(spark, [(1, 'PASSWORD="0123456789ABCDEFGHIJKLMNOP" and no more'), (2, odd)])
+    assert len({tuple(s[0].tolist()) for s in secrets._training(odd)}) > 8
+    assert secrets.learn(docs, fit_texts=1) is not None
+
+
+def test_odd_words_come_from_the_whole_text():
+    late = "ABCDEFGH99XYZ"
+    text = " ".join(f"so it is in {i}" for i in range(200)) + f" so it is in {late}" * 200
+    found = list(secrets._training(text))
+    assert len(found) == secrets.ODD_WORDS and any(secrets.shape(late) in s[0] for s in found) and any(secrets.shape("7") in s[0] for s in found)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +29,10 @@ LEARNT = "learnt"
 FIT_TEXTS = 1_500
 #: Words on either side of a base span in a training sequence, and words of a sequence without one.
 MARGIN, PLAIN_WORDS = 8, 40
-#: Words with digits, but no secret, that a training text gives sequences for at most.
+#: Words with digits, but no secret, that a training text gives sequences for at most: the smallest by hash of place and word.
 ODD_WORDS = 20
+#: Different training sequences with a base span, and without one, for each of ``FIT_TEXTS`` at most: the smallest by hash.
+MARKED_SEQUENCES, PLAIN_SEQUENCES = 4, 8
 #: Words whose shape a Python worker keeps; bounds memory, never changes spans.
 CACHE_WORDS = 400_000
 OUT, BEGIN, INSIDE = 0, 1, 2
@@ -225,7 +228,8 @@ def _training(text: str) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarr
     places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     if not places:
         return
-    shapes, roles = _READER.read([text[a:b] for a, b in places])
+    words = [text[a:b] for a, b in places]
+    shapes, roles = _READER.read(words)
     where, tags, inside = file_bin(roles), np.zeros(len(places), dtype=np.int64), -1
     spans = base_spans(text)
     starts = np.array([a for a, _ in places])
@@ -237,7 +241,8 @@ def _training(text: str) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarr
             tags[first], tags[first + 1:last + 1], inside = BEGIN, INSIDE, last
             marked.append((first, last))
     # Words with digits that are no secret, such as dates and addresses, are the field's hardest counter-examples.
-    odd = [(i, i) for i in np.flatnonzero((roles == DIGITS) & (tags == OUT)).tolist()[:ODD_WORDS]]
+    odd = np.flatnonzero((roles == DIGITS) & (tags == OUT)).tolist()
+    odd = [(i, i) for i in sorted(odd, key=lambda i: (zlib.crc32(f"{i} {words[i]}".encode("utf-8", "surrogatepass")), i))[:ODD_WORDS]]
     for first, last in [*marked, *odd] or [(0, PLAIN_WORDS - 1 - MARGIN)]:
         cut = slice(max(0, first - MARGIN), last + 1 + MARGIN)
         yield shapes[cut], roles[cut], where, tags[cut]
@@ -275,8 +280,10 @@ def learn(docs: DataFrame, fit_texts: int = FIT_TEXTS, seed: int = 5) -> Field |
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["s", "r", "b", "y"])
 
     texts = rows.join(F.broadcast(chosen), "order").groupBy("order").agg(F.first("text").alias("text")).select("text")
-    found = [(np.array(x.s), np.array(x.r), x.b, np.array(x.y)) for x in texts.mapInArrow(
-        cut, "s array<int>, r array<int>, b int, y array<int>").distinct().orderBy("s", "r", "y").limit(8 * fit_texts).collect()]
+    cuts = stored(texts.mapInArrow(cut, "s array<int>, r array<int>, b int, y array<int>").distinct().withColumns(
+        {"marked": F.array_contains("y", BEGIN), "order": F.xxhash64("s", "r", "b", "y")}))
+    found = [(np.array(x.s), np.array(x.r), x.b, np.array(x.y)) for marked, each in ((True, MARKED_SEQUENCES), (False, PLAIN_SEQUENCES))
+             for x in cuts.where(F.col("marked") == marked).orderBy("order", "s", "r", "b", "y").limit(each * fit_texts).select("s", "r", "b", "y").collect()]
     return train(found) if any(len(x[3]) and x[3].any() for x in found) else None
 
 
