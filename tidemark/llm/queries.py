@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
-from tidemark.llm import decontam, packing, pii, repeats, secrets, simhash, syncmers, token_files, toxicity, url_filter
+from tidemark.llm import (decontam, lines, packing, periods, pii, ranking, repeats, secrets, simhash, syncmers, token_files, toxicity,
+                          url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,3 +175,59 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.digest(secrets.find(docs, secrets.learn(docs)))
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that also stand in a later document, and in a third one."""
+    return lines.drop_repeated_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+CHECKS["op11_line_dedup"] = f"""
+WITH doc AS (SELECT row_number() OVER () AS n, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+line AS (SELECT n, doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS t FROM doc),
+keyed AS (SELECT *, {_LOWER.format("trim(t, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS k FROM line),
+often AS (SELECT k, max(doc_id) AS top FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT n) >= 3),
+judged AS (SELECT l.*, o.k IS NOT NULL AND l.doc_id IS DISTINCT FROM o.top AS gone FROM keyed l LEFT JOIN often o ON l.k = o.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    sha256(coalesce(string_agg(t, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY n
+"""
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of periodic words in every document, a tenth of them with a planted run."""
+    found = periods.find_runs(table(spark, sf_dir, "documents"), periods.plant)
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    top = found.select("doc_id", "runs", listed.alias("listed"), "collapsed", longest.alias("top"))
+    return top.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"), (-F.col("top.l")).alias("length"),
+        F.col("top.period").alias("period"), F.floor(F.lit(-1000) * F.col("top.l") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = f"regexp_extract_all({_LOWER.format('coalesce(text, chr(32))')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+CHECKS["op13_ranked_search"] = f"""
+WITH doc AS (SELECT row_number() OVER () AS n, doc_id, {_TERMS} AS w FROM documents),
+item AS (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS w FROM benchmark),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM doc WHERE len(w) > 0),
+tf AS (SELECT n, term, count(*) AS tf FROM (SELECT n, unnest(w) AS term FROM doc) GROUP BY n, term),
+weight AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term, n_docs),
+sized AS (SELECT n, doc_id, 25 + (75 * len(w)::BIGINT * n_docs) // n_terms AS m FROM doc, totals),
+asked AS (SELECT i, item_id, unnest(w) AS term FROM item),
+scored AS (SELECT i, any_value(item_id) AS item_id, n, any_value(doc_id) AS doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN sized USING (n) GROUP BY i, n),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST)::INT AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
