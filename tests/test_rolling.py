@@ -100,6 +100,46 @@ def test_handing_on_agrees_with_walking():
             assert exits[int(np.searchsorted(starts, state))] == want
 
 
+def _walked(blocks, block_rows):
+    """Entry states by walking the blocks one after the other."""
+    key, free, entries = None, 0, {}
+    for block, first_key, last_key, starts, exits in blocks:
+        entries[block] = max(0, free - block * block_rows) if first_key == key else 0
+        free = (block + 1) * block_rows + exits[int(np.searchsorted(starts, entries[block]))]
+        key = last_key
+    return entries
+
+
+@pytest.mark.parametrize("seed,count", [(1, 1000), (2, 1), (3, 2), (4, 37)])
+def test_entries_of_many_blocks_equal_a_walk(spark, monkeypatch, seed, count):
+    rng, block_rows, cooldown = random.Random(seed), 20, 17
+    blocks, block, key = [], 1000, "k0"
+    for _ in range(count):
+        block += 1 if rng.random() < 0.9 else rng.randint(2, 40)
+        places = np.array(sorted(rng.sample(range(block_rows), rng.randint(1, 6))))
+        first = key if rng.random() < 0.9 else f"k{block}"
+        key = first if rng.random() < 0.8 else f"k{block}-end"
+        spaced = places if key == first else np.append(places, places[-1] + cooldown + 1)
+        starts, exits = rolling._transfer(places, spaced[:len(places)], cooldown, block_rows)
+        blocks.append((block, first, key, [int(s) for s in starts], [int(x) for x in exits]))
+    compose, sizes = rolling._compose, spark.sparkContext.accumulator(0)
+
+    def at_most_two(rows):
+        inner = compose(rows)
+
+        def checked(pdf):
+            if len(pdf) > 2:
+                sizes.add(1)
+            return inner(pdf)
+
+        return checked
+
+    monkeypatch.setattr(rolling, "_compose", at_most_two)
+    steps = spark.createDataFrame(blocks, "block LONG, first_key STRING, last_key STRING, starts ARRAY<LONG>, exits ARRAY<LONG>")
+    assert dict(rows(rolling.block_entries(steps, block_rows))) == _walked(blocks, block_rows)
+    assert sizes.value == 0
+
+
 @pytest.mark.parametrize("keys,quiet", [(["key"], 0), (["key"], 350), ([], 0), ([], 350)])
 def test_stream_in_several_batches_equals_one_scan(spark, tmp_path, keys, quiet):
     log = _log(21, 900, KEYS if keys else ["a"])

@@ -82,8 +82,8 @@ def rolling_alerts(
 
     Which rows alert depends on the alert before, row by row. To run it in parallel,
     positions are cut into blocks. Each block is summarised by what it hands on for
-    every state it may be entered in, the states are passed from block to block (one
-    short row each), and the blocks are walked again, now knowing theirs. A block may
+    every state it may be entered in, ``block_entries`` finds the state that each is
+    entered in, and the blocks are walked again, now knowing theirs. A block may
     hold many keys or a part of one, so neither tiny nor huge keys cost extra.
 
     ``last_alerts`` (keys and ``rn``) carries the state of an earlier run.
@@ -111,16 +111,6 @@ def rolling_alerts(
         return pdf.head(1)[["block"]].assign(
             first_key=pdf["key"].iloc[0], last_key=pdf["key"].iloc[-1], starts=[starts], exits=[exits])
 
-    def enter(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        key, free, entered = None, 0, []
-        for row in pdf.itertuples():
-            state = max(0, free - row.block * block_rows) if row.first_key == key else 0
-            entered.append(state)
-            free = (row.block + 1) * block_rows + int(row.exits[np.searchsorted(row.starts, state)])
-            key = row.last_key
-        return pdf[["block"]].assign(entry=entered)
-
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rn")
         spaced = _apart(pdf, pdf["rn"].to_numpy() - pdf["block"].iloc[0] * block_rows, cooldown)
@@ -130,15 +120,74 @@ def rolling_alerts(
             at = np.searchsorted(spaced, spaced[at] + cooldown)
         return pdf.iloc[chosen][["rn"]]
 
-    steps = places.groupBy("block").applyInPandas(
+    steps = stored(places.groupBy("block").applyInPandas(
         hand_on, "block LONG, first_key STRING, last_key STRING, starts ARRAY<LONG>, exits ARRAY<LONG>"
-    )
-    # One short row per block, block_rows times fewer than positions.
-    entries = steps.groupBy(F.lit(0).alias("_all")).applyInPandas(enter, "block LONG, entry LONG")
+    ))
+    entries = block_entries(steps, block_rows)
     chosen = places.join(entries, "block").groupBy("block").applyInPandas(pick, "rn LONG")
     return breaches.join(chosen, "rn").select(*rates.columns)
 
 
+#: What a span of blocks hands on: its first and last block and key, and a step function of the state it is entered in.
+_SPAN = ("node LONG, first_block LONG, last_block LONG, first_key STRING, last_key STRING, "
+         "starts ARRAY<LONG>, exits ARRAY<LONG>")
+
+
+def block_entries(steps: DataFrame, block_rows: int) -> DataFrame:
+    """(block, entry) of every block: the state it is entered in, from what each block hands on.
+
+    A parallel prefix over a binary tree of block numbers. On the way up the functions of two
+    neighbouring spans are composed into one for both; on the way down each span's entry is
+    given to its left half, and what the left half makes of it to its right half. A task holds two functions
+    at a time, and there are as many rounds as the block numbers have binary digits that differ.
+    """
+    low, high = steps.agg(F.min("block"), F.max("block")).first()
+    level = steps.select((F.col("block") - F.lit(low or 0)).alias("node"), F.col("block").alias("first_block"),
+                         F.col("block").alias("last_block"), "first_key", "last_key", "starts", "exits")
+    levels = []
+    for _ in range(int((high or 0) - (low or 0)).bit_length()):
+        levels.append(stored(level))
+        level = levels[-1].groupBy(F.shiftright("node", 1).alias("parent")).applyInPandas(_compose(block_rows), _SPAN)
+    entries = level.select("node", "first_block", F.lit(0).cast("bigint").alias("entry"))
+    for level in reversed(levels):
+        above = entries.select(F.col("node").alias("parent"), "entry")
+        odd = F.col("node") % 2 == 1
+        left = level.where(~odd).select(
+            (F.col("node") + 1).alias("node"), F.col("last_block").alias("left_last"), F.col("last_key").alias("left_key"),
+            F.arrays_zip("starts", "exits").alias("left_steps"))
+        step = F.filter("left_steps", lambda s: s["starts"] >= F.col("entry"))
+        linked = (F.col("left_last") + 1 == F.col("first_block")) & (F.col("left_key") == F.col("first_key"))
+        entries = level.select("node", "first_block", "first_key", F.shiftright("node", 1).alias("parent")).join(
+            above, "parent").join(left, "node", "left").select(
+            "node", "first_block", F.when(F.col("left_last").isNull(), F.col("entry"))
+            .when(linked, step[0]["exits"]).otherwise(0).alias("entry"))
+    return entries.select(F.col("first_block").alias("block"), "entry")
+
+
+def _compose(block_rows: int):
+    """Both halves of a span as one; a span with one half passes as it is.
+
+    State leaves the left half only if the right one begins in the next block, with the same key:
+    a cool-down is no longer than a block.
+    """
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node")
+        node = int(pdf["node"].iloc[0]) >> 1
+        left, right = pdf.iloc[0], pdf.iloc[-1]
+        starts, exits = np.asarray(left["starts"]), np.asarray(left["exits"])
+        if len(pdf) == 2:
+            linked = left["last_block"] + 1 == right["first_block"] and left["last_key"] == right["first_key"]
+            inner = exits if linked else np.zeros_like(exits)
+            exits = np.asarray(right["exits"])[np.searchsorted(np.asarray(right["starts"]), inner)]
+            last = np.append(exits[1:] != exits[:-1], True)  # of equal steps the last start serves all
+            starts, exits = starts[last], exits[last]
+        return pd.DataFrame({
+            "node": [node], "first_block": [left["first_block"]], "last_block": [right["last_block"]], "first_key": [left["first_key"]],
+            "last_key": [right["last_key"]], "starts": [starts.tolist()], "exits": [exits.tolist()]})
+
+    return compose
+
+
 def _apart(pdf: pd.DataFrame, offsets: np.ndarray, cooldown: int) -> np.ndarray:
     """Offsets of sorted rows with a further cool-down added at each change of key, so
     that one walk over the block starts every key afresh."""
