@@ -1,5 +1,7 @@
 import datetime
 import os
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from tests.conftest import rows
 from tidemark.operators import report
 from tidemark.functions import session
 from tidemark.streaming import ingest, logs, monitor
+from tidemark.streaming.keyed import drain
 from tidemark.streaming.tables import append_to, finish, latest, refresh_to
 
 START = datetime.datetime(2025, 3, 1)
@@ -85,40 +88,108 @@ def test_every_trigger_ends_with_the_same_report(spark, tmp_path, trigger):
 ITEMS = "item INT, fails INT"
 
 
-def _parse(df, attempt):
-    return df.withColumn("ok", F.col("fails") < attempt)
+def _tries(items, attempt):
+    return items.assign(ok=items["fails"] < attempt, answer=items["item"] * 10)
 
 
-def test_retries_then_dead_letters(spark, tmp_path):
-    _write(spark, tmp_path / "in", [(i, i % 5) for i in range(30)], ITEMS)
-    _write(spark, tmp_path / "in", [(i, i % 5) for i in range(30, 60)], ITEMS)
-    path = str(tmp_path / "out")
-    finish(ingest.ingest(_stream(spark, tmp_path / "in", ITEMS), _parse, path))
-    # The second batch has already given the first one's failures another attempt.
-    assert {r[0] for r in rows(ingest.ingested(spark, path).where("attempt = 2"), "item")} == {i for i in range(30) if i % 5 == 1}
-    ingest.retry(spark, _stream(spark, tmp_path / "in", ITEMS).schema, _parse, path)
+def _outcomes(spark, path):
     ok, dead = ingest.ingested(spark, path), ingest.dead_letters(spark, path)
-    assert sorted(rows(ok, "item", "attempt")) == [(i, i % 5 + 1) for i in range(60) if i % 5 < 3]
-    assert sorted(r[0] for r in rows(dead, "item")) == [i for i in range(60) if i % 5 >= 3]
-
+    return sorted(rows(ok, "item", "attempt", "answer")), sorted(rows(dead, "item", "attempt"))
 
-def test_a_batch_without_failures_has_no_dead_letters(spark, tmp_path):
-    _write(spark, tmp_path / "in", [(1, 0)], ITEMS)
-    finish(ingest.ingest(_stream(spark, tmp_path / "in", ITEMS), _parse, str(tmp_path / "out")))
-    assert ingest.dead_letters(spark, str(tmp_path / "out")).count() == 0
 
-
-def test_a_replayed_batch_leaves_nothing_of_its_first_run(spark, tmp_path):
-    _write(spark, tmp_path / "in", [(i, i % 5) for i in range(10)], ITEMS)
+def test_retries_happen_in_the_stream_then_dead_letters(spark, tmp_path):
+    for low in (0, 30):
+        _write(spark, tmp_path / "in", [(i, i % 5) for i in range(low, low + 30)], ITEMS)
+    path = str(tmp_path / "out")
+    drain(ingest.ingest(_stream(spark, tmp_path / "in", ITEMS), _tries, "answer LONG", path, wait_ms=0, slots=3), 120)
+    ok, dead = _outcomes(spark, path)
+    assert ok == [(i, i % 5 + 1, 10 * i) for i in range(60) if i % 5 < 3]
+    assert dead == [(i, 3) for i in range(60) if i % 5 >= 3]
+
+
+def test_a_source_that_fails_restarts_and_recovers(spark, tmp_path):
+    for low in (0, 20, 40):
+        _write(spark, tmp_path / "in", [(i, i % 2) for i in range(low, low + 20)], ITEMS)
+    down, path = tmp_path / "down", str(tmp_path / "out")
+    down.touch()
+
+    def fetch(items, attempt):
+        return items.assign(ok=(items["fails"] == 0) | (not os.path.exists(down)), answer=items["item"])
+
+    def start():
+        return ingest.ingest(_stream(spark, tmp_path / "in", ITEMS), fetch, "answer LONG", path, max_attempts=20, wait_ms=50, slots=2)
+
+    query = start()
+    until = time.monotonic() + 120
+    while not (query.lastProgress and query.lastProgress.batchId >= 4) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert query.lastProgress.stateOperators[0].numRowsTotal > 0  # odd items wait
+    query.stop()
+    assert {r[0] for r in rows(ingest.ingested(spark, path), "item")} <= set(range(0, 60, 2))
+    down.unlink()
+    _write(spark, tmp_path / "in", [(i, 0) for i in range(60, 70)], ITEMS)
+    drain(start(), 120)
+    ok, dead = _outcomes(spark, path)
+    assert [r[0] for r in ok] == list(range(70)) and not dead  # every item once
+    assert all((attempt > 1) == (item < 60 and item % 2 == 1) for item, attempt, _ in ok)
+
+
+def test_an_intake_without_failures_has_no_dead_letters(spark, tmp_path):
+    _write(spark, tmp_path / "in", [(1, 0), (1, 0), (None, 0)], ITEMS)
     path = str(tmp_path / "out")
-    stream = spark.readStream.schema(ITEMS).parquet(str(tmp_path / "in"))
-    finish(ingest.ingest(stream, lambda df, attempt: df.withColumn("ok", F.lit(False)), path, max_attempts=1))
-    assert ingest.dead_letters(spark, path, 1).count() == 10
-    # The same batch again, as after a crash before its commit: progress is lost, outputs are not.
-    (tmp_path / "out" / "progress").rename(tmp_path / "old_progress")
-    finish(ingest.ingest(stream, lambda df, attempt: df.withColumn("ok", F.lit(True)), path))
-    assert ingest.dead_letters(spark, path, 1).count() == 0
-    assert sorted(r[0] for r in rows(ingest.ingested(spark, path), "item")) == list(range(10))
+    drain(ingest.ingest(_stream(spark, tmp_path / "in", ITEMS), _tries, "answer LONG", path, slots=2), 120)
+    assert (ingest.ingested(spark, path).count(), ingest.dead_letters(spark, path).count()) == (3, 0)
+
+
+KEYED = "line LONG, key STRING, status INT"
+
+
+def _keyed_monitor(spark, tmp_path, n=5, threshold=0.3, cooldown=4):
+    return monitor.stream_monitor_by_key(
+        _stream(spark, tmp_path / "in", KEYED), str(tmp_path / "out"), F.col("status") == 500, ["line"], ["key"], [], n, threshold, cooldown)
+
+
+def _plain_alerts(log, n=5, threshold=0.3, cooldown=4):
+    seen, last, fired = {}, {}, []
+    for line, key, status in log:
+        window = seen.setdefault(key, [])
+        window.append(status == 500)
+        if len(window) >= n and sum(window[-n:]) / n > threshold and len(window) - last.get(key, -cooldown) >= cooldown:
+            last[key] = len(window)
+            fired.append((line, key, sum(window[-n:])))
+    return sorted(fired)
+
+
+def test_keyed_monitor_goes_on_after_restarts(spark, tmp_path):
+    rng, log = random.Random(4), []
+    keys = ["a", "a", "a", "b", None, "c"]
+    for k in range(5):
+        part = [(100 * k + i, rng.choice(keys), 500 if rng.random() < 0.35 else 200) for i in range(rng.choice([3, 60]))]
+        log += part
+        _write(spark, tmp_path / "in", part, KEYED)
+        finish(_keyed_monitor(spark, tmp_path), 120)  # each batch is a query of its own
+    got = rows(spark.read.parquet(str(tmp_path / "out" / "alerts")), "line", "key", "window_errors")
+    assert sorted(got) == _plain_alerts(log) and len(got) > 5
+
+
+def test_keyed_state_written_follows_the_keys_of_the_batch(spark, tmp_path):
+    _write(spark, tmp_path / "in", [(i, f"k{i % 500}", 200) for i in range(3000)], KEYED)
+    _write(spark, tmp_path / "in", [(3000 + i, "k7", 500) for i in range(10)], KEYED)
+    query = _keyed_monitor(spark, tmp_path)
+    finish(query, 120)
+    updated = [p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.numInputRows]
+    totals = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.numInputRows]
+    assert updated[1] <= 2 < 500 <= updated[0] and totals[1] >= 500
+    assert rows(spark.read.parquet(str(tmp_path / "out" / "alerts")), "line") == [(3001,), (3005,), (3009,)]
+
+
+def test_quiet_keys_are_forgotten(spark, tmp_path):
+    _write(spark, tmp_path / "in", [(i, f"k{i}", 200) for i in range(20)], KEYED)
+    query = monitor.stream_monitor_by_key(
+        _stream(spark, tmp_path / "in", KEYED), str(tmp_path / "out"), F.col("status") == 500, ["line"], ["key"],
+        idle_ms=1, trigger={"processingTime": "0 seconds"})
+    drain(query, 120)  # ends when no state is left
+    assert query.lastProgress.stateOperators[0].numRowsTotal == 0
 
 
 def _files(path):

@@ -1,36 +1,24 @@
-"""Streaming forms over events and lineitem, each fed in several micro-batches."""
+"""Streaming forms over the files of events and lineitem."""
 
-from pyspark.sql import Column, DataFrame
+import json
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
-from tidemark.plans.monitoring import THRESHOLD, alerts_sql
+from tidemark.plans.monitoring import THRESHOLD, USER_COOLDOWN, USER_ROWS, USER_THRESHOLD, alerts_sql
 from tidemark.plans.registry import query
 from tidemark.plans.reports import LOG_BY_TYPE
 from tidemark.plans.tables import Tables, is_error, priced_events, sales_lines
 from tidemark.sources.readers import read_log_stream
 from tidemark.streaming import ingest, logs, monitor
+from tidemark.streaming.keyed import drain
 from tidemark.streaming.tables import append_to, finish, latest, refresh_to
 
 
-BATCHES = 4
-
-
-def _in_batches(df: DataFrame, place: Column) -> DataFrame:
-    """``df`` as a stream of ``BATCHES`` micro-batches, cut at quantiles of ``place``: each slice is
-    written to a feed folder after the one before, in as many files as one trigger takes."""
-    spark, path = df.sparkSession, fresh_dir(df.sparkSession, "feed")
-    files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // BATCHES)
-    cuts = df.agg(F.percentile_approx(place, [k / BATCHES for k in range(1, BATCHES)], 10_000)).first()[0] or []
-    edges = [None, *cuts, None]
-    for low, high in zip(edges, edges[1:]):
-        slice_ = df.where((F.lit(True) if low is None else place > low) & (F.lit(True) if high is None else place <= high))
-        slice_.repartition(files).write.mode("append").parquet(path)
-    return read_log_stream(spark, path, df.schema, max_files=files)
-
-
 def _events(t: Tables) -> DataFrame:
-    return _in_batches(t.events, F.unix_micros(F.col("ts").cast("timestamp")))
+    return read_log_stream(t.spark, t.stream_path("events"), t.events.schema)
 
 
 @query("stream_log_summary", """
@@ -86,6 +74,16 @@ def stream_monitor(t: Tables) -> DataFrame:
     return monitor.monitor_alerts(t.spark, path).select("event_id", "ts", "error_rate", "window_errors")
 
 
+@query("stream_monitor_by_user", f"""
+    {alerts_sql(USER_ROWS, USER_THRESHOLD, USER_COOLDOWN, 'user_id')}
+    SELECT event_id, user_id, ts, error_rate, window_errors FROM alerts""")
+def stream_monitor_by_user(t: Tables) -> DataFrame:
+    path = fresh_dir(t.spark, "monitor-by-user")
+    finish(monitor.stream_monitor_by_key(
+        _events(t), path, is_error(), ["ts", "event_id"], ["user_id"], n=USER_ROWS, threshold=USER_THRESHOLD, cooldown=USER_COOLDOWN))
+    return t.spark.read.parquet(f"{path}/alerts")
+
+
 @query("refresh_report", """
     SELECT row_number() OVER (ORDER BY total DESC) AS rank, g AS "group", n AS "count",
            cast(price_sum AS double) / n AS avg_price, cast(total AS double) AS total,
@@ -96,16 +94,16 @@ def stream_monitor(t: Tables) -> DataFrame:
           FROM lineitem GROUP BY 1)""")
 def refresh_report(t: Tables) -> DataFrame:
     path = fresh_dir(t.spark, "report")
-    lines = _in_batches(t.lineitem, F.col("l_orderkey"))
+    lines = read_log_stream(t.spark, t.stream_path("lineitem"), t.lineitem.schema)
     finish(logs.refresh_report(sales_lines(lines, "l_returnflag"), "l_returnflag", path))
     return latest(t.spark, path)
 
 
-def parse_event(rows: DataFrame, attempt: int) -> DataFrame:
+def parse_event(items: pd.DataFrame, attempt: int) -> pd.DataFrame:
     """Errors below 60 parse from the second attempt on, larger ones never do."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    accepted = ~is_error() | (F.lit(attempt > 1) & (F.col("value") < 60))
-    return rows.withColumn("k", F.when(accepted, k)).withColumn("ok", accepted & k.isNotNull())
+    k = items["props"].map(lambda p: json.loads(p).get("k") if p else None)
+    ok = ((items["event_type"] != "error") | ((attempt > 1) & (items["value"] < 60))) & k.notna()
+    return items.assign(k=k.where(ok).astype("Int32"), ok=ok)
 
 
 @query("ingest", """
@@ -115,9 +113,7 @@ def parse_event(rows: DataFrame, attempt: int) -> DataFrame:
     FROM events""")
 def ingest_events(t: Tables) -> DataFrame:
     path = fresh_dir(t.spark, "ingest")
-    events = _events(t)
-    finish(ingest.ingest(events, parse_event, path))
-    ingest.retry(t.spark, events.schema, parse_event, path)
+    drain(ingest.ingest(_events(t).select("event_id", "event_type", "value", "props"), parse_event, "k INT", path, wait_ms=0, slots=16))
     columns = ["event_id", "attempt"]
     return (
         ingest.ingested(t.spark, path).select(*columns, F.lit("ok").alias("outcome"), "k")

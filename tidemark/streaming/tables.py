@@ -13,11 +13,11 @@ from tidemark.functions.session import discard, scratch
 DRAIN = {"availableNow": True}
 
 
-def append_to(result: DataFrame, path: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append finished rows to the Parquet table ``<path>/data``."""
+def append_to(result: DataFrame, path: str, trigger: dict | None = None, table: str = "data") -> StreamingQuery:
+    """Append finished rows to the Parquet table ``<path>/<table>``."""
     return (
         result.writeStream.outputMode("append").format("parquet")
-        .option("path", f"{path}/data").option("checkpointLocation", f"{path}/progress")
+        .option("path", f"{path}/{table}").option("checkpointLocation", f"{path}/progress")
         .trigger(**(trigger or DRAIN)).start()
     )
 
