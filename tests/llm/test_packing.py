@@ -39,7 +39,6 @@ def test_word_cache_equals_the_library(path):
 
 def test_small_caches_change_nothing(path, monkeypatch):
     monkeypatch.setattr("tidemark.llm.tokens.CACHE_WORDS", 3)
-    monkeypatch.setattr("tidemark.llm.tokens.CACHE_CORES", 3)
     test_word_cache_equals_the_library(path)
 
 

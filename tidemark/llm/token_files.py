@@ -199,18 +199,28 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             names = ["shard", "place", "doc_id", "start", "n_tokens", "ids_crc32", "first", "last"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    def together(group):
-        group = group.sort_values("start")
-        crc, total = 0, 0
-        for part, n in zip(group["ids_crc32"], group["n_tokens"], strict=True):
-            crc, total = crc_join(crc, int(part), 4 * int(n)), total + int(n)
-        head = group.iloc[:1].copy()
-        head["ids_crc32"], head["n_tokens"] = crc, total
-        return head
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            totals, checks = [], []
+            for parts in batch["parts"].to_pylist():
+                crc = total = 0
+                for part in parts:
+                    crc, total = crc_join(crc, part["ids_crc32"], 4 * part["n_tokens"]), total + part["n_tokens"]
+                totals.append(total)
+                checks.append(crc)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[n] for n in ("shard", "doc_id", "start")), pa.array(totals, pa.int64()), pa.array(checks, pa.int64())],
+                names=["shard", "doc_id", "start", "n_tokens", "ids_crc32"])
 
     rows = stored(files.select("shard", "n_ids", "planes", "seg_place", "seg_doc", "seg_start", "seg_n", "seg_first", "seg_last").mapInArrow(
         decode, f"shard int, place long, doc_id {kind}, start long, n_tokens long, ids_crc32 long, first boolean, last boolean"))
     inside = F.col("first") & F.col("last")
-    crossing = rows.where(~inside).groupBy("shard", "place").applyInPandas(together, rows.schema)
-    return rows.where(inside).unionByName(crossing).join(F.broadcast(_shard_bases(files)), "shard").select(
+    # A border has one crossing document at most, and a document as many parts as blocks, 16 bytes each.
+    parts = rows.where(~inside).groupBy("shard", "place").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"),
+        F.sort_array(F.collect_list(F.struct("start", "n_tokens", "ids_crc32"))).alias("parts"))
+    crossing = parts.select("shard", "doc_id", "start", "parts").mapInArrow(
+        together, f"shard int, doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    whole = rows.where(inside).select("shard", "doc_id", "start", "n_tokens", "ids_crc32")
+    return whole.unionByName(crossing).join(F.broadcast(_shard_bases(files)), "shard").select(
         "doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")
