@@ -18,7 +18,9 @@ ROWS = [
     (6, prose(1, 80) + " tail"), (7, prose(1, 79) + " end"), (8, LONG), (9, " \n\t "), (10, "one two"), (2, prose(4, 30)), (11, prose(1, 80)),
     (12, "Ünïcödé 😀 " * 30), (13, "x" * 5000), (14, prose(5, 40) + " " + prose(1, 40)),
 ]
-EXTRAS = ("key", "fp", "bin", "score", "pos", "term", "row", "spans", "label", "start", "length", "offset", "root", "base")
+EXTRAS = ("key", "fp", "bin", "score", "pos", "term", "row", "spans", "label", "start", "length", "offset", "root", "base",
+          "_key", "_hit", "_row", "_text", "_node", "_alias", "_cuts", "_to", "_by", "n_hit", "cuts", "body", "node", "alias", "line", "top", "gone", "hit_id",
+          "parts", "n", "tf", "terms", "impacts", "slice", "rank", "number", "runs", "kept", "collapsed", "key_", "row_", "body_")
 
 
 def documents(spark, rows=ROWS):

@@ -3,7 +3,7 @@ import re
 import corpus_pipeline
 import pytest
 from tests.conftest import rows
-from tests.llm.messy import LONG, prose
+from tests.llm.messy import EXTRAS, LONG, prose
 from tests.llm.test_decontam import brute as contaminated
 from tests.llm.test_pii import brute as private
 from tests.llm.test_simhash import brute_print, classes
@@ -28,8 +28,9 @@ def folder(spark):
         if i % 2 == 0:
             labels.append((i, 1, int(i % 4 == 0)))
     docs += [(300 + i, docs[3 + 4 * i][1]) for i in range(10)] + [(400, None), (401, ""), (None, prose(900, 20)), (402, LONG), (1, docs[1][1])]
-    spark.createDataFrame([(i, t, "en", None, None if t is None else len(t)) for i, t in docs],
-                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+    extras = "".join(f", {c} int" for c in EXTRAS)
+    spark.createDataFrame([(i, t, "en", None, None if t is None else len(t), *[k] * len(EXTRAS)) for k, (i, t) in enumerate(docs)],
+                          f"doc_id long, text string, lang string, source string, n_chars long{extras}").write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     spark.createDataFrame([(1, prose(7000, 13)), (2, None)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     return path

@@ -87,3 +87,23 @@ def test_held_out_rule(spark):
     ids = [(0,), (7,), (-3,), (10 ** 12,), (None,)]
     got = {r.doc_id: r.h for r in spark.createDataFrame(ids, "doc_id long").select("doc_id", toxicity.held_out(F.col("doc_id")).alias("h")).collect()}
     assert all(got[i] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, in ids if i is not None)
+
+
+def test_many_words_and_long_stems_are_learnt(spark):
+    stem = "zq" * 20  # forty letters, beyond what every word's prefixes cover
+    words = [f"bad{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}x" for i in range(1100)]
+    rows, labels = [], []
+    for i in range(2400):
+        body = prose(i, 12).split()
+        if i % 2:
+            body[3:3] = [words[(i // 2 * 7 + k) % 1100] for k in range(14)]
+            body[9:9] = [stem + "abcdefghij"[i // 2 % 10] * 2]
+        rows.append((i, " ".join(body)))
+        labels.append((i, i % 2))
+    docs = documents(spark, rows)
+    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert len(model.words) + len(model.stems) > 0
+    assert any(stem.startswith(s) or s.startswith(stem) for s in [*model.stems, *model.words])
+    fresh = documents(spark, [(1, " ".join([prose(5000, 10), stem + "qq", *words[::100], prose(5001, 5)])), (2, prose(5002, 20))])
+    got = {r.doc_id: r.score for r in toxicity.scored(fresh, model).collect()}
+    assert got[1] > 0.5 > got[2]

@@ -60,6 +60,15 @@ def test_many_rules_a_chain_of_redirects_and_repeated_rows(spark):
     assert (got[15].verdict, got[16].verdict) == ("allow", "block")
 
 
+def test_clashing_columns_stay(spark):
+    from pyspark.sql import functions as F
+    from tests.llm.messy import EXTRAS
+
+    data = page(spark, [("http://a.net/", ""), ("http://b.org/fr/x", ""), (None, None)]).withColumns({c: F.lit(i) for i, c in enumerate(EXTRAS)})
+    got = url_filter.judge(data, url_filter.rule_table(spark, RULES)).collect()
+    assert len(got) == 3 and all(r[c] == i for r in got for i, c in enumerate(EXTRAS) if c not in ("host", "path", "rule", "verdict", "reason"))
+
+
 def test_empty_tables(spark):
     empty = page(spark, [("http://a.net/", "")]).limit(0)
     assert rows(url_filter.judge(empty, url_filter.rule_table(spark, RULES))) == []

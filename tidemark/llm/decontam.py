@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import stored
-from tidemark.llm.text import ascii_lower, sized, text_key
+from tidemark.llm.text import ascii_lower, free_name, sized, text_key
 
 #: Characters between words (fixed value): everything in ASCII but digits and lower-case letters.
 GAPS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -129,10 +129,14 @@ def _by_text(docs: DataFrame, items: DataFrame, width: int, slack: int) -> tuple
 
 
 def clean(docs: DataFrame, items: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
-    """The rows of ``docs`` that ``contamination`` does not call contaminated, with all their columns."""
+    """The rows of ``docs`` that ``contamination`` does not call contaminated, with all their columns, whatever their names.
+
+    Null and empty texts stay, repeated rows each; a very long text is cut into words in one task.
+    """
     _, hit = _by_text(docs, items, width, 0)
-    rows = docs.withColumn("_key", text_key(F.col("text"))).join(hit.select(F.col("key").alias("_key"), F.col("n_hit").alias("_hit")), "_key", "left")
-    return rows.where(F.col("_hit").isNull() | (F.col("_hit") * share < word_count(F.col("text")))).select(*docs.columns)
+    key, n_hit = free_name("key", docs), free_name("n_hit", docs)
+    rows = docs.withColumn(key, text_key(F.col("text"))).join(hit.select(F.col("key").alias(key), F.col("n_hit").alias(n_hit)), key, "left")
+    return rows.where(F.col(n_hit).isNull() | (F.col(n_hit) * share < word_count(F.col("text")))).select(*docs.columns)
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 13, slack: int = 2, share: int = 20) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.session import stored
 from tidemark.llm.graph import components
-from tidemark.llm.text import text_key
+from tidemark.llm.text import free_name, text_key
 
 SEED = 42
 #: Blocks beyond the radius that a shard's fingerprints agree on; 4 leave about 21 free bits.
@@ -182,12 +182,14 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
 def representatives(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """One row of each group of near-duplicates: that with the smallest doc_id, nulls last, then the smallest text hash.
 
-    All columns of ``docs`` are kept as they are.
+    All columns of ``docs`` are kept as they are, whatever their names. Of rows that repeat doc_id and text one stays.
+    Null and empty texts have the fingerprint zero. A very long text is hashed in one task.
     """
     id_rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), text_key(F.col("text")).alias("text"))
     # Fingerprints are computed on the keys and texts alone, and meet the rows again by that key.
     prints = stored(fingerprints(docs.select(id_rank.alias("doc_id"), "text"), width))
-    least = _classes(prints.withColumnRenamed("doc_id", "row"), radius).select(F.col("least").alias("_row")).distinct()
-    kept = docs.withColumn("_row", id_rank).join(least, "_row", "left_semi")
-    repeats = kept.groupBy("_row").count().where("count > 1").limit(1).count()
-    return (kept.dropDuplicates(["_row"]) if repeats else kept).drop("_row")
+    row = free_name("row", docs)
+    least = _classes(prints.withColumnRenamed("doc_id", "row"), radius).select(F.col("least").alias(row)).distinct()
+    kept = docs.withColumn(row, id_rank).join(least, row, "left_semi")
+    repeats = kept.groupBy(F.col(row)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
+    return (kept.dropDuplicates([row]) if repeats else kept).drop(row)

@@ -19,6 +19,14 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, with underscores added until ``df`` has no such column, for a column beside the caller's own."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def sized(df: DataFrame, most: int) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``most`` rows, counted; otherwise left to a shuffle."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -20,11 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import stored
+from tidemark.llm.text import free_name
 
 #: Labelled documents that the model is fitted on at most: the smallest by hash. A bound on training only.
 FIT_ROWS = 20_000
-#: Words and stems in the lexicon at most: the most significant.
-LEXICON = 1_000
+#: Letters up to which every word's prefixes may become stems; longer stems come from words that share so many.
+HEAD_LETTERS = 24
 #: Letters of the shortest stem, words that must share one, and letters of the shortest word matched with an edit.
 STEM_LETTERS, STEM_WORDS, FUZZY_LETTERS = 4, 5, 5
 #: Share of its contexts that an entry must have in toxic documents.
@@ -225,14 +226,20 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, seed: in
     share, least = totals[0] / (totals[0] + totals[1]), math.log(totals[2]) + 5
     strong = lambda df: df.withColumn("worth", _significance(F.col("bad"), F.col("good"), share)).where(
         (F.col("worth") >= least) & (F.col("bad") >= LEAST_RATE * (F.col("bad") + F.col("good"))))
-    prefixes = F.explode(F.transform(F.sequence(F.lit(STEM_LETTERS), F.least(F.length("word") - 1, F.lit(24))), lambda n: F.substring("word", F.lit(1), n)))
-    long = F.length("word") > STEM_LETTERS
-    maybe = strong(terms.where(long).select("bad", "good", prefixes.alias("word")).groupBy("word").agg(
+    # A stem beyond HEAD_LETTERS needs words that share so many; other words have their shorter prefixes only.
+    head = F.substring("word", 1, HEAD_LETTERS)
+    heads = stored(terms.where(F.length("word") > HEAD_LETTERS + 1).groupBy(head.alias("head")).agg(F.count(F.lit(1)).alias("n"))
+                   .where(F.col("n") >= STEM_WORDS).select("head", F.lit(True).alias("deep")))
+    most = F.when(F.col("deep"), F.length("word") - 1).otherwise(F.least(F.length("word") - 1, F.lit(HEAD_LETTERS)))
+    prefixes = F.explode(F.transform(F.sequence(F.lit(STEM_LETTERS), most), lambda n: F.substring("word", F.lit(1), n)))
+    stemmed = lambda df: df.where(F.length("word") > STEM_LETTERS).join(
+        F.broadcast(heads), head == F.col("head"), "left")
+    maybe = strong(stemmed(terms).select("bad", "good", prefixes.alias("word")).groupBy("word").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= STEM_WORDS))
-    maybe = maybe.orderBy(F.desc("worth"), "word").limit(20 * LEXICON).select("word")
-    stems = _evidence(used.where(long).select("doc_id", "toxic", "near", prefixes.alias("word")).join(F.broadcast(maybe), "word").groupBy(
+    maybe = maybe.select("word")  # the sample bounds them, as it does the words
+    stems = _evidence(stemmed(used).select("doc_id", "toxic", "near", prefixes.alias("word")).join(F.broadcast(maybe), "word").groupBy(
         "word", "doc_id", "toxic").agg(F.min("near").alias("near")))
-    kept = lambda df: {r.word: (r.bad, r.good) for r in strong(df).orderBy(F.desc("worth"), "word").limit(LEXICON).collect()}
+    kept = lambda df: {r.word: (r.bad, r.good) for r in strong(df).collect()}
     picked, families = kept(terms), kept(stems)
     # The shortest stem stands for its longer ones, and for the words under it.
     short = {s for s in families if not any(s[:n] in families for n in range(STEM_LETTERS, len(s)))}
@@ -279,21 +286,21 @@ def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 0.5) -> list[floa
     return w.tolist()
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with the column ``score``, 0 to 1. Only the text decides; null texts score as empty ones.
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a score from 0 to 1 in the column ``name``. Only the text decides; null texts score as empty ones.
 
-    Every row and column stays, but for a column named ``score``, which is replaced.
+    Every row and column stays, whatever its name, but for one named ``name``, which is replaced. Repeated rows
+    score each. A very long text is read as a whole in one task.
     """
-    kept = docs.drop("score")
+    kept = docs.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array([model.score(t) for t in batch["_text"].to_pylist()], pa.float64())
-            names = [n for n in batch.schema.names if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), scores], names=[*names, "score"])
+            scores = pa.array([model.score(t) for t in batch.columns[-1].to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], names=[*batch.schema.names[:-1], name])
 
-    schema = kept.withColumn("score", F.lit(0.0)).schema
-    return kept.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, schema)
+    schema = kept.withColumn(name, F.lit(0.0)).schema
+    return kept.withColumn(free_name("body", kept), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:

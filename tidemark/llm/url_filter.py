@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.session import stored
 from tidemark.llm.graph import components
+from tidemark.llm.text import free_name
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -98,7 +99,8 @@ def judge(pages: DataFrame, rules: DataFrame, links: DataFrame | None = None) ->
     the results are replaced; no rows give none.
     """
     host, path, _ = url_parts(F.col("url"))
-    placed = pages.drop("host", "path", "rule", "verdict", "reason").withColumns({"host": host, "path": path, "_node": node(F.col("url"))})
+    spot, alias = free_name("node", pages), free_name("alias", pages)
+    placed = pages.drop("host", "path", "rule", "verdict", "reason").withColumns({"host": host, "path": path, spot: node(F.col("url"))})
     ends = stored((html_links(pages) if links is None else links).select("url", "target").dropna().distinct())
     spots = ends.select("url").unionByName(ends.select(F.col("target").alias("url"))).distinct()
     host, path, _ = url_parts(F.col("url"))
@@ -107,8 +109,8 @@ def judge(pages: DataFrame, rules: DataFrame, links: DataFrame | None = None) ->
 
     roots = components(ends.select(node(F.col("url")).alias("a"), node(F.col("target")).alias("b")))
     ruled = roots.join(spots.join(matched, ["host", "path"]), "node")
-    decided = ruled.groupBy("root").agg(F.min("verdict").alias("_alias"))  # allow sorts before block
-    aliases = roots.join(decided, "root").select(F.col("node").alias("_node"), "_alias")
-    return placed.join(matched, ["host", "path"], "left").join(aliases, "_node", "left").withColumns({
-        "reason": F.when(F.col("rule").isNotNull(), "rule").when(F.col("_alias").isNotNull(), "alias").otherwise("default"),
-        "verdict": F.coalesce("verdict", "_alias", F.lit(ALLOW))}).drop("_node", "_alias")
+    decided = ruled.groupBy("root").agg(F.min("verdict").alias(alias))  # allow sorts before block
+    aliases = roots.join(decided, "root").select(F.col("node").alias(spot), alias)
+    return placed.join(matched, ["host", "path"], "left").join(aliases, spot, "left").withColumns({
+        "reason": F.when(F.col("rule").isNotNull(), "rule").when(F.col(alias).isNotNull(), "alias").otherwise("default"),
+        "verdict": F.coalesce("verdict", alias, F.lit(ALLOW))}).drop(spot, alias)
