@@ -1,7 +1,10 @@
 """Documents to packed sequences: toxicity, near-duplicates, decontamination, personal data, packing.
 
 Each stage takes the documents that the one before kept, as a written table, and all
-but the last give documents with the same columns.
+but the last give documents with the same columns, whatever further columns these have.
+Null and empty texts go through like any other, null ids too; repeated rows each keep
+their result, but for near duplicates, of which one row stays. A text is one row, so a very
+long one is worked on in one task at a time. Without documents there are no rows.
 """
 
 from __future__ import annotations
@@ -11,12 +14,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
 from tidemark.llm import decontam, packing, pii, queries, simhash, toxicity
+from tidemark.llm.text import free_name
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold."""
     model = queries.toxicity_model(docs, queries.table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model).where(F.col("score") < queries.TOXIC_FROM).drop("score")
+    score = free_name("score", docs)
+    return toxicity.scored(docs, model, score).where(F.col(score) < queries.TOXIC_FROM).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
