@@ -59,9 +59,8 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
 
 
-def cells(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First start, number of further starts, anchor hash and content hash of each cell of a text."""
-    found: list[tuple] = []
+def _pieces(raw: bytes) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per piece of a text: its place and bytes, and first starts, last starts and anchor hashes of its cells."""
     for begin in range(0, len(raw) - LENGTH + 1, PIECE):
         part = raw[begin:begin + PIECE + LENGTH - 1]
         hashes = _anchor_hashes(np.frombuffer(part, dtype=np.uint8))
@@ -69,20 +68,32 @@ def cells(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         anchor = (_least((hashes & np.uint64(0xFFFFFFFF00000000)) | places, LENGTH - K + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.concatenate(([0], np.flatnonzero(np.diff(anchor)) + 1))
         last = np.concatenate((first[1:], [len(anchor)])) - 1
-        digest = xxhash.xxh3_64_intdigest
+        yield begin, part, first, last, hashes[anchor[first]].view(np.int64)
+
+
+def anchors(raw: bytes) -> np.ndarray:
+    """Anchor hash of each cell of a text."""
+    return np.concatenate([np.zeros(0, np.int64), *(hashes for *_, hashes in _pieces(raw))])
+
+
+def cells(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First start, number of further starts, anchor hash and content hash of each cell of a text."""
+    found: list[tuple] = []
+    digest = xxhash.xxh3_64_intdigest
+    for begin, part, first, last, hashes in _pieces(raw):
         content = np.array([digest(part[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)], dtype=np.uint64)
-        found.append((first + begin, last - first, hashes[anchor[first]].view(np.int64), content.view(np.int64)))
+        found.append((first + begin, last - first, hashes, content.view(np.int64)))
     if not found:
         return tuple(np.zeros(0, np.int64) for _ in range(4))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
 #: Symbols that one round of sorting or merging looks at, if a bucket has few enough different groups of them.
-STRIDES = (4, 2, 1)
+STRIDES = (10, 5, 4, 2, 1)
 #: Bytes of a shard, whose suffixes are sorted by themselves before they are merged.
-SHARD_BYTES = 1 << 18
+SHARD_BYTES = 1 << 14
 #: Cells that share a bucket; an anchor with more cells than HOT_CELLS has its strings compared by hash instead.
-BUCKET_CELLS, HOT_CELLS = 6_000, 16_000
+BUCKET_CELLS, HOT_CELLS = 450, 16_000
 #: Documents whose ids may be broadcast, to keep the texts of the others out of a shuffle.
 BROADCAST_DOCS = 1_000_000
 
@@ -112,11 +123,12 @@ class Collection:
         """Order-keeping codes of the next ``stride`` symbols; whether 16 bits hold them, for counting sorts."""
         if stride == 1:
             return self.symbols.astype(np.uint16), True
-        value = self.symbols
-        for step in range(1, stride):
-            value = (value << 9) | self.symbols[self.moved(step)]
-        seen = np.unique(value)
-        return (np.searchsorted(seen, value).astype(np.uint16), True) if len(seen) < 1 << 16 else (value, False)
+        half = stride // 2 if stride > 5 else 1  # five symbols fit one number, longer strides are two halves
+        value = part = self._codes(half)[0].astype(np.int64)
+        for step in range(half, stride, half):
+            value = value * (int(part.max()) + 1) + part[self.moved(step)]
+        seen, codes = np.unique(value, return_inverse=True)
+        return (codes.astype(np.uint16), True) if len(seen) < 1 << 16 else (codes, False)
 
     def sorted_suffixes(self, first: int, stop: int) -> np.ndarray:
         """Suffix array of the strings that fill ``first`` to ``stop``, to a depth of LENGTH symbols at least."""
@@ -194,6 +206,15 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.select(doc.alias("doc"), "doc_id", text.cast("binary").alias("raw"))
 
 
+def _anchors(rows: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([np.zeros(0, np.int64), *(anchors(raw.as_py()) for raw in batch["raw"])]))], names=["anchor"])
+
+    return rows.select("raw").mapInArrow(run, "anchor long")
+
+
 def _cells(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,10 +240,9 @@ def _texts_of(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def covered(rows: DataFrame) -> DataFrame:
     """(doc, lo, hi): byte ranges that strings which also start earlier cover; ranges of a document may overlap."""
-    every = _cells(rows)
     # Both counts are written before they are joined, so that a hot anchor's side of the join can be split.
-    common = stored(every.groupBy("anchor").count().where("count > 1").select("anchor"))
-    shared = stored(every.join(common, "anchor", "left_semi"))
+    common = stored(_anchors(rows).groupBy("anchor").count().where("count > 1").select("anchor"))
+    shared = stored(_cells(rows).join(common, "anchor", "left_semi"))
     classes = stored(shared.groupBy("anchor", "content").agg(
         F.min(F.struct("doc", "lo", "span")).alias("first"), F.count(F.lit(1)).alias("n")))
     first = shared.join(classes.where("n > 1").select("anchor", "content", "first"), ["anchor", "content"])
