@@ -82,7 +82,7 @@ def test_every_trigger_ends_with_the_same_report(spark, tmp_path, trigger):
         finish(query)
     batch = report.sales_report(
         report.fold_sales(spark.createDataFrame(data, SALES), "region"), "region")
-    assert rows(latest(spark, str(tmp_path / "out")).orderBy("rank")) == rows(batch.orderBy("rank"))
+    assert rows(logs.current_report(spark, str(tmp_path / "out"), "region").orderBy("rank")) == rows(batch.orderBy("rank"))
 
 
 ITEMS = "item INT, fails INT"

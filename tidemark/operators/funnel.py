@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts
@@ -23,24 +23,18 @@ class CoachWeights:
 
 def funnel(checklist: DataFrame) -> DataFrame:
     """Per task in order: who finished, the rate, the change from the task before,
-    and whether it is a hot spot (the lowest rate)."""
+    and whether it is a hot spot (the lowest rate). The tasks of a curriculum, a row each
+    by then, go through one task of Spark; learners and their marks do not."""
     counts = checklist.groupBy("task_seq", "day", "task").agg(
         F.count_if("done").alias("done"), F.count("*").alias("learners")
-    )
-    ranked = number_rows(counts, [F.col("task_seq")], "step").withColumn(
-        "rate", F.col("done") / F.col("learners")
-    )
-    before = ranked.select((F.col("step") + 1).alias("step"), F.col("done").alias("_before"))
-    lowest = ranked.agg(F.min("rate")).scalar()
-    return (
-        ranked.join(before, "step", "left")
-        .select(
-            "task_seq", "day", "task", "done", "learners", "rate",
-            F.coalesce(F.col("done") - F.col("_before"), F.lit(0)).alias("change"),
-            (F.col("rate") == lowest).alias("hot_spot"),
-        )
-        .orderBy("task_seq")
-    )
+    ).withColumn("rate", F.col("done") / F.col("learners"))
+    in_order = Window.orderBy("task_seq", "day", "task")
+    lowest = F.min("rate").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return counts.select(
+        "task_seq", "day", "task", "done", "learners", "rate",
+        F.coalesce(F.col("done") - F.lag("done").over(in_order), F.lit(0)).alias("change"),
+        (F.col("rate") == lowest).alias("hot_spot"),
+    ).orderBy("task_seq")
 
 
 def bottom_tasks(tasks: DataFrame, k: int = 3) -> DataFrame:

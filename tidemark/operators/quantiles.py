@@ -42,13 +42,22 @@ def exact_quantiles(
         F.struct(F.count(c).alias("n"), F.percentile_approx(c, cuts, _ACCURACY).alias("cuts")).alias(c) for c in columns
     ]).first()
     found = {c: (first[c]["n"], first[c]["cuts"]) for c in columns if first[c]["n"]}
-    answer = _bracketed(values, found, probs) if found else {}
+    answer = quantiles_between(values, found, probs) if found else {}
     return {c: answer.get(c, [None] * len(probs)) for c in columns}
 
 
-def _bracketed(
+class BracketMissed(ValueError):
+    """A quantile lies outside the bracket given for it."""
+
+
+def quantiles_between(
     values: DataFrame, sketch: dict[str, tuple[int, list[float]]], probs: Sequence[float]
 ) -> dict[str, list[float]]:
+    """Exact quantiles of the columns of doubles in ``values``.
+
+    ``sketch`` has, per column, its number of values and for each probability the two
+    values that enclose the quantile. Raises ``BracketMissed`` where they do not.
+    """
     slots = [(c, i, cuts[2 * i], cuts[2 * i + 1]) for c, (_, cuts) in sketch.items() for i in range(len(probs))]
     within = [F.col(c).between(low, high) for c, _, low, high in slots]
     counted = values.agg(
@@ -56,6 +65,10 @@ def _bracketed(
         *[F.count_if(w).alias(f"within:{c}:{i}") for (c, i, _, _), w in zip(slots, within)],
     ).first()
     below = {(c, i): counted[f"below:{c}:{i}"] for c, i, _, _ in slots}
+    for c, i, _, _ in slots:
+        at, first = probs[i] * (sketch[c][0] - 1), below[c, i]
+        if not first <= math.floor(at) <= math.ceil(at) < first + counted[f"within:{c}:{i}"]:
+            raise BracketMissed(f"{c} at {probs[i]}")
     hits = F.array(*[
         F.when(w, F.struct(F.lit(slot).alias("slot"), F.col(c).alias("value")))
         for slot, ((c, _, _, _), w) in enumerate(zip(slots, within))

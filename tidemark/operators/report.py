@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts
 from tidemark.functions.money import as_amount, units
 from tidemark.operators.joins import null_safe_join
-from tidemark.operators.ordering import number_rows
 
 
 # Prices have up to two decimals and discounts are whole percents.
@@ -48,17 +47,19 @@ def merge_sales(folded: DataFrame, *by: str) -> DataFrame:
 def sales_report(totals: DataFrame, group_by: str) -> DataFrame:
     """Rank, count, mean unit price, total and bar width per group, best first.
 
-    ``totals`` comes from ``fold_sales`` or ``merge_sales``.
+    ``totals`` comes from ``fold_sales`` or ``merge_sales``. The groups are the lines of
+    a report, so one task ranks them: group by a category, not by a customer or an order
+    (``ordering.number_rows`` ranks any number of rows).
     """
-    ranked = number_rows(totals, [F.col("total_units").desc(), F.col(group_by)], "rank")
-    largest = ranked.agg(F.max("total_units").cast("double")).scalar()
-    return ranked.select(
-        "rank",
+    best_first = Window.orderBy(F.col("total_units").desc(), F.col(group_by))
+    largest = F.first(F.col("total_units").cast("double"), ignorenulls=True).over(best_first)
+    return totals.select(
+        F.row_number().over(best_first).cast("bigint").alias("rank"),
         F.col(group_by).alias("group"),
         F.col("orders").alias("count"),
         (as_amount("price_units", PRICE_PLACES) / F.nullif(F.col("priced"), F.lit(0))).alias("avg_price"),
         as_amount("total_units", AMOUNT_PLACES).alias("total"),
-        F.round(F.col("total_units").cast("double") / largest * 100, 1).alias("share_pct"),
+        F.round(F.col("total_units").cast("double") / F.nullif(largest, F.lit(0.0)) * 100, 1).alias("share_pct"),
     )
 
 

@@ -1,10 +1,11 @@
 """Sales reports, log aggregates and profiles."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import exact_sum
-from tidemark.operators import logs, profile, report
+from tidemark.functions.session import stored
+from tidemark.operators import logs, profile, report, sketches
 from tidemark.plans.registry import query
 from tidemark.plans.tables import (
     Tables, is_error, priced_events, sales_by_region, sales_by_type, sales_lines,
@@ -167,6 +168,45 @@ def profile_lineitem(t: Tables) -> DataFrame:
         {"mean": F.round("mean", 6), "std": F.round("std", 6)})
 
 
+_PROFILED = ("l_quantity", "l_extendedprice", "l_discount")
+
+
+@query("profile_merged", " UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS missing, round(avg({c}), 6) AS mean,
+           round(stddev_samp({c}), 6) AS std, min({c}) AS min, quantile_cont({c}, 0.25) AS q25,
+           quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c}) AS max
+    FROM lineitem""" for c in _PROFILED))
+def profile_merged(t: Tables) -> DataFrame:
+    """Sketched per return flag, merged, and the quartiles refined to exact ones."""
+    parts = stored(sketches.sketch(t.lineitem, _PROFILED, "l_returnflag"))
+    whole = stored(sketches.merge(parts))
+    exact = sketches.refine(t.lineitem, whole, [0.25, 0.5, 0.75])
+    quartiles = t.spark.createDataFrame([(c, *qs) for c, qs in exact.items()], "column STRING, q25 DOUBLE, q50 DOUBLE, q75 DOUBLE")
+    plain = sketches.sketched_profile(whole, []).withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)})
+    return plain.drop("n_distinct").join(F.broadcast(quartiles), "column")  # one row per profiled column
+
+
+@query("profile_sketched", " UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", count({c}) AS n, true AS q25_close, true AS q50_close, true AS q75_close, true AS distinct_close
+    FROM lineitem""" for c in _PROFILED))
+def profile_sketched(t: Tables) -> DataFrame:
+    """The sketched quartiles' true ranks and the distinct estimate, against their bounds with room for rare misses."""
+    found = sketches.sketched_profile(sketches.merge(stored(sketches.sketch(t.lineitem, _PROFILED, "l_returnflag"))))
+    lines = t.lineitem.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in _PROFILED])).alias("v")).select("v.*")
+    # Folded by value first: a value's rows are combined before they move.
+    counted = lines.where("value IS NOT NULL").groupBy("column", "value").agg(F.count("*").alias("rows")).join(
+        F.broadcast(found), "column")
+    def close(q: str, p: float) -> Column:
+        below = F.sum(F.when(F.col("value") < F.col(q), F.col("rows")).otherwise(0)) / F.first("n")
+        upto = F.sum(F.when(F.col("value") <= F.col(q), F.col("rows")).otherwise(0)) / F.first("n")
+        room = 3 * sketches.RANK_ERROR
+        return ((below <= p + room) & (upto >= p - room)).alias(f"{q}_close")
+    distinct = F.abs(F.first("n_distinct") / F.count("*") - 1) <= 4 * sketches.DISTINCT_ERROR
+    return counted.groupBy("column").agg(
+        F.first("n").alias("n"), close("q25", 0.25), close("q50", 0.5), close("q75", 0.75), distinct.alias("distinct_close"))
+
+
 @query("rate_by", """
     SELECT lang, count(quality) AS n, cast(sum(quality) AS bigint) AS positives,
            sum(quality) / count(quality) AS rate

@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.session import fresh_dir
+from tidemark.operators.sketches import sketched_profile
 from tidemark.plans.monitoring import THRESHOLD, USER_COOLDOWN, USER_ROWS, USER_THRESHOLD, alerts_sql
 from tidemark.plans.registry import query
 from tidemark.plans.reports import LOG_BY_TYPE
 from tidemark.plans.tables import Tables, is_error, priced_events, sales_lines
 from tidemark.sources.readers import read_log_stream
-from tidemark.streaming import ingest, logs, monitor
+from tidemark.streaming import ingest, late, logs, monitor
 from tidemark.streaming.keyed import drain
 from tidemark.streaming.tables import append_to, finish, latest, refresh_to
+from tidemark.streaming.versions import published
 
 
 def _events(t: Tables) -> DataFrame:
@@ -96,7 +98,34 @@ def refresh_report(t: Tables) -> DataFrame:
     path = fresh_dir(t.spark, "report")
     lines = read_log_stream(t.spark, t.stream_path("lineitem"), t.lineitem.schema)
     finish(logs.refresh_report(sales_lines(lines, "l_returnflag"), "l_returnflag", path))
-    return latest(t.spark, path)
+    return logs.current_report(t.spark, path, "l_returnflag")
+
+
+@query("stream_profile", " UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS missing, round(avg({c}), 6) AS mean,
+           round(stddev_samp({c}), 6) AS std, min({c}) AS min, max({c}) AS max FROM lineitem"""
+    for c in ("l_quantity", "l_extendedprice")))
+def stream_profile(t: Tables) -> DataFrame:
+    path = fresh_dir(t.spark, "profile")
+    lines = read_log_stream(t.spark, t.stream_path("lineitem"), t.lineitem.schema)
+    finish(logs.stream_profile(lines, path, ["l_quantity", "l_extendedprice"]))
+    found = sketched_profile(published(t.spark, path), []).drop("n_distinct")
+    return found.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)})
+
+
+@query("stream_hourly_accounted", """
+    SELECT date_trunc('hour', ts) AS hour, count(*) AS n, date_trunc('hour', min(ts)) + INTERVAL 1 HOUR
+           <= (SELECT date_trunc('millisecond', max(ts) - INTERVAL 10 MINUTE) FROM events) AS closed,
+           (SELECT count(*) FROM events) AS all_rows, (SELECT count(*) FROM events WHERE ts IS NULL) AS set_aside
+    FROM events WHERE ts IS NOT NULL GROUP BY 1""")
+def stream_hourly_accounted(t: Tables) -> DataFrame:
+    """Every hour with its rows, beside the accounts of the whole stream."""
+    path = fresh_dir(t.spark, "accounted")
+    finish(late.stream_hourly_accounted(_events(t), path, "ts"))
+    accounts = late.row_accounts(t.spark, path).select(
+        F.col("rows").alias("all_rows"), (F.col("late") + F.col("untimed")).alias("set_aside"))
+    kind = dict(t.events.dtypes)["ts"]
+    return late.accounted_hours(t.spark, path, kind).crossJoin(F.broadcast(accounts))  # one row
 
 
 def parse_event(items: pd.DataFrame, attempt: int) -> pd.DataFrame:

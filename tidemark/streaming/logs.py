@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import as_instant, from_instant
 from tidemark.operators.logs import log_by, log_summary
 from tidemark.operators.report import fold_sales, sales_report
-from tidemark.streaming.tables import refresh_to
+from tidemark.operators.sketches import merge, sketch
+from tidemark.streaming.tables import DRAIN
+from tidemark.streaming.versions import change, published, replace_by
 
 
 def _timed(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -57,8 +61,34 @@ def stream_error_rate(
 
 
 def refresh_report(sales: DataFrame, group_by: str, path: str, trigger: dict | None = None) -> StreamingQuery:
-    """Keep the sales report current. Every trigger mode ends with the same report;
-    totals are state, so a refresh reads only new files."""
-    return refresh_to(
-        fold_sales(sales, group_by), path, trigger, lambda totals: sales_report(totals, group_by)
+    """Keep the totals of the sales report current; ``current_report`` ranks them.
+
+    Totals are state, so a refresh reads only new files, and it rewrites only the buckets
+    of groups that changed. Every trigger mode ends with the same report.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        change(batch.sparkSession, path, batch_id, batch, group_by, replace_by(group_by))
+
+    return (
+        fold_sales(sales, group_by).writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", f"{path}/progress").trigger(**(trigger or DRAIN)).start()
+    )
+
+
+def current_report(spark: SparkSession, path: str, group_by: str) -> DataFrame:
+    """The report as of the newest published totals."""
+    return sales_report(published(spark, path), group_by)
+
+
+def stream_profile(stream: DataFrame, path: str, columns: Sequence[str], trigger: dict | None = None) -> StreamingQuery:
+    """Keep mergeable column profiles of a stream: each batch is scanned once and its
+    states are merged into those before it. ``versions.published(spark, path)`` reads them
+    for ``sketches.sketched_profile`` or ``sketches.refine``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        change(batch.sparkSession, path, batch_id, sketch(batch, columns), "column",
+               lambda there, new: merge(there.unionByName(new)))
+
+    return (
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/progress")
+        .trigger(**(trigger or DRAIN)).start()
     )
