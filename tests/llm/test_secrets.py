@@ -128,3 +128,17 @@ def test_odd_words_come_from_the_whole_text():
     text = " ".join(f"so it is in {i}" for i in range(200)) + f" so it is in {late}" * 200
     found = list(secrets._training(text))
     assert len(found) == secrets.ODD_WORDS and any(secrets.shape(late) in s[0] for s in found) and any(secrets.shape("7") in s[0] for s in found)
+
+
+def test_plain_training_words_come_from_anywhere_in_a_text():
+    texts = [" ".join(f"{'abcdefghij'[k]}{'x' * (i % 9)}" for i in range(400)) for k in range(10)]
+    heads = 0
+    for text in texts:
+        (shapes, roles, _, tags), = secrets._training(text)
+        assert len(shapes) == len(roles) == len(tags) == secrets.PLAIN_WORDS and not tags.any()
+        whole, _ = secrets._READER.read(text.split())
+        assert any((whole[i:i + len(shapes)] == shapes).all() for i in range(len(whole) - len(shapes) + 1))
+        heads += (whole[:len(shapes)] == shapes).all()
+    assert heads < len(texts)
+    (short, *_), = secrets._training("three plain words")
+    assert len(short) == 3 and list(secrets._training("  ")) == []

@@ -224,7 +224,8 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def _training(text: str) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]]:
-    """Sequences around the base spans and the odd words of a text, or its first words if it has neither."""
+    """Sequences around the base spans and the odd words of a text, or ``PLAIN_WORDS`` words from a place
+    that the text's hash picks if it has neither."""
     places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     if not places:
         return
@@ -243,8 +244,11 @@ def _training(text: str) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarr
     # Words with digits that are no secret, such as dates and addresses, are the field's hardest counter-examples.
     odd = np.flatnonzero((roles == DIGITS) & (tags == OUT)).tolist()
     odd = [(i, i) for i in sorted(odd, key=lambda i: (zlib.crc32(f"{i} {words[i]}".encode("utf-8", "surrogatepass")), i))[:ODD_WORDS]]
-    for first, last in [*marked, *odd] or [(0, PLAIN_WORDS - 1 - MARGIN)]:
-        cut = slice(max(0, first - MARGIN), last + 1 + MARGIN)
+    cuts = [slice(max(0, first - MARGIN), last + 1 + MARGIN) for first, last in [*marked, *odd]]
+    if not cuts:
+        start = zlib.crc32(text.encode("utf-8", "surrogatepass")) % max(1, len(places) - PLAIN_WORDS + 1)
+        cuts = [slice(start, start + PLAIN_WORDS)]
+    for cut in cuts:
         yield shapes[cut], roles[cut], where, tags[cut]
 
 
