@@ -256,13 +256,13 @@ def _fit_hashes(rows: DataFrame, fit_texts: int) -> list[int]:
     """Hashes (``order``) of the texts to train on: the smallest of different texts with a base span, and as many of others."""
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marked = [bool(base_spans(t)) for t in batch["text"].to_pylist()]
+            marked = [t is not None and bool(base_spans(t)) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["order"], pa.array(marked, pa.bool_())], names=["order", "marked"])
 
-    # A text that fails the cheap test has no base span.
+    # A text that fails the cheap test has no base span and stays on the JVM's side.
     likely = F.col("text").rlike("(?i)passw|secret|token|api_?key|AKIA|[0-9a-f]{16}")
-    known = rows.where(likely).select("order", "text").mapInArrow(judged, "order long, marked boolean")
-    each = stored(known.unionByName(rows.where(~likely).select("order", F.lit(False).alias("marked"))).distinct())
+    tested = rows.select("order", F.when(likely, F.col("text")).alias("text"))
+    each = stored(tested.mapInArrow(judged, "order long, marked boolean").distinct())
     return [r.order for marked in (True, False) for r in each.where(F.col("marked") == marked).orderBy("order").limit(fit_texts).select("order").collect()]
 
 
