@@ -45,7 +45,7 @@ def test_removal_equals_brute_force(spark, case):
     assert got(documents(spark, CASES[case])) == brute(CASES[case])
 
 
-@pytest.mark.parametrize("settings", [{"HOT_CELLS": 2}, {"BUCKET_CELLS": 5, "SHARD_BYTES": 400}, {"BROADCAST_DOCS": 0}, {"PIECE": 150}])
+@pytest.mark.parametrize("settings", [{"HOT_CELLS": 2}, {"HOT_CELLS": 1, "LONGER": (repeats.LENGTH,)}, {"BUCKET_CELLS": 5, "SHARD_BYTES": 400}, {"BROADCAST_DOCS": 0}, {"PIECE": 150}])
 def test_every_way_gives_the_same(spark, monkeypatch, settings):
     for name, value in settings.items():
         monkeypatch.setattr(repeats, name, value)
@@ -53,6 +53,22 @@ def test_every_way_gives_the_same(spark, monkeypatch, settings):
         assert got(documents(spark, CASES[case])) == brute(CASES[case])
 
 
+@pytest.mark.parametrize("k", [repeats.K, *repeats.LONGER])
+def test_cells_cover_every_start_and_equal_strings_share_an_anchor(k):
+    text = (PASSAGE + "#" + PASSAGE[7:] + "ab" * 150).encode()
+    first, span, anchor, content = repeats.cells(text, k)
+    assert [a + j for a, n in zip(first.tolist(), span.tolist()) for j in range(n + 1)] == list(range(len(text) - L + 1))
+    of = {}
+    for a, n, h in zip(first.tolist(), span.tolist(), anchor.tolist(), strict=True):
+        for at in range(a, a + n + 1):
+            assert of.setdefault(text[at:at + L], h) == h
+    bytes_of = {}
+    for a, n, c in zip(first.tolist(), span.tolist(), content, strict=True):
+        assert bytes_of.setdefault(c.tobytes(), text[a:a + n + L]) == text[a:a + n + L]
+    if k == L:  # here an anchor has equal strings only, so that nothing is left to split
+        assert not span.any() and len({*of.values()}) == len(of)
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_merged_transforms_equal_brute_force(seed):
     chance = random.Random(seed)

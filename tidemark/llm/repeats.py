@@ -5,10 +5,15 @@ A byte goes if a string of LENGTH bytes that covers it also starts earlier.
 Every string of LENGTH bytes is filed under its least K-byte substring by hash
 (its anchor), which depends on the string alone. Neighbouring strings with one
 anchor form a cell, about LENGTH / 2.6 bytes apart. Cells whose anchor occurs
-once cannot repeat; cells that equal an earlier one go whole. What is left, the
-first of each set of equal cells where other cells share the anchor, is sorted
-as suffixes: shards build their transforms, and the transforms of a bucket of
+once cannot repeat; cells that equal an earlier one go whole (128-bit hashes of
+their bytes tell them apart; among n cells of one anchor two different ones
+agree with a probability below n * n / 2 ** 129). What is left, the first of
+each set of equal cells where other cells share the anchor, is sorted as
+suffixes: shards build their transforms, and the transforms of a bucket of
 anchors are merged by refining their interleave, one symbol of depth a round.
+An anchor with more cells than one task should hold is split: its strings are
+filed anew under their least substring of more bytes, up to LENGTH, where all
+strings of an anchor are equal.
 """
 
 from __future__ import annotations
@@ -34,8 +39,8 @@ PIECE = 1 << 20
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
-def _anchor_hashes(data: np.ndarray) -> np.ndarray:
-    """64-bit hash of each K-byte substring."""
+def _anchor_hashes(data: np.ndarray, k: int = K) -> np.ndarray:
+    """64-bit hash of each ``k``-byte substring, K at least."""
     wide = data.astype(np.uint64)
     wide = wide[:-1] | (wide[1:] << np.uint64(8))
     wide = wide[:-2] | (wide[2:] << np.uint64(16))
@@ -46,6 +51,14 @@ def _anchor_hashes(data: np.ndarray) -> np.ndarray:
     mixed = (mixed ^ wide[8:n + 8]) * _M2
     mixed ^= mixed >> np.uint64(29)
     mixed = (mixed ^ wide[16:n + 16]) * _M3
+    short = mixed ^ (mixed >> np.uint64(32))
+    if k == K:
+        return short
+    n = len(data) - k + 1
+    mixed = short[:n]
+    for at in (*range(K, k - K, K), k - K):  # K-byte substrings that cover the longer one
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * _M2 + short[at:at + n]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * _M3
     return mixed ^ (mixed >> np.uint64(32))
 
 
@@ -59,13 +72,13 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
 
 
-def _pieces(raw: bytes) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
+def _pieces(raw: bytes, k: int = K) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
     """Per piece of a text: its place and bytes, and first starts, last starts and anchor hashes of its cells."""
     for begin in range(0, len(raw) - LENGTH + 1, PIECE):
         part = raw[begin:begin + PIECE + LENGTH - 1]
-        hashes = _anchor_hashes(np.frombuffer(part, dtype=np.uint8))
+        hashes = _anchor_hashes(np.frombuffer(part, dtype=np.uint8), k)
         places = np.arange(len(hashes), dtype=np.uint64)
-        anchor = (_least((hashes & np.uint64(0xFFFFFFFF00000000)) | places, LENGTH - K + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        anchor = (_least((hashes & np.uint64(0xFFFFFFFF00000000)) | places, LENGTH - k + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.concatenate(([0], np.flatnonzero(np.diff(anchor)) + 1))
         last = np.concatenate((first[1:], [len(anchor)])) - 1
         yield begin, part, first, last, hashes[anchor[first]].view(np.int64)
@@ -76,24 +89,26 @@ def anchors(raw: bytes) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.int64), *(hashes for *_, hashes in _pieces(raw))])
 
 
-def cells(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First start, number of further starts, anchor hash and content hash of each cell of a text."""
-    found: list[tuple] = []
-    digest = xxhash.xxh3_64_intdigest
-    for begin, part, first, last, hashes in _pieces(raw):
-        content = np.array([digest(part[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)], dtype=np.uint64)
-        found.append((first + begin, last - first, hashes, content.view(np.int64)))
-    if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+def cells(raw: bytes, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First start, number of further starts, anchor hash and content hash (16 bytes) of each cell of a text."""
+    found: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "V16"))]
+    digest = xxhash.xxh3_128_digest
+    for begin, part, first, last, hashes in _pieces(raw, k):
+        content = b"".join([digest(part[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)])
+        found.append((first + begin, last - first, hashes, np.frombuffer(content, dtype="V16")))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _binary(hashes: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(16), len(hashes), [None, pa.py_buffer(hashes.tobytes())]).cast(pa.binary())
+
+
 #: Symbols that one round of sorting or merging looks at, if a bucket has few enough different groups of them.
 STRIDES = (10, 5, 4, 2, 1)
 #: Bytes of a shard, whose suffixes are sorted by themselves before they are merged.
 SHARD_BYTES = 1 << 14
-#: Cells that share a bucket; an anchor with more cells than HOT_CELLS has its strings compared by hash instead.
-BUCKET_CELLS, HOT_CELLS = 450, 16_000
+#: Cells that share a bucket; an anchor with more cells than HOT_CELLS is split by anchors of LONGER bytes, one after another.
+BUCKET_CELLS, HOT_CELLS, LONGER = 450, 16_000, (2 * K, 3 * K, LENGTH)
 #: Documents whose ids may be broadcast, to keep the texts of the others out of a shuffle.
 BROADCAST_DOCS = 1_000_000
 
@@ -224,11 +239,32 @@ def _cells(rows: DataFrame) -> DataFrame:
             row = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
             lo, span, anchor, content = (np.concatenate(x) for x in zip(*parts))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc"].take(pa.array(row)), pa.array(lo), pa.array(span.astype(np.int32)), pa.array(anchor), pa.array(content)],
+                [batch["doc"].take(pa.array(row)), pa.array(lo), pa.array(span.astype(np.int32)), pa.array(anchor), _binary(content)],
                 names=["doc", "lo", "span", "anchor", "content"])
 
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.select("doc", "raw").mapInArrow(run, f"doc {kind}, lo long, span int, anchor long, content long")
+    return rows.select("doc", "raw").mapInArrow(run, f"doc {kind}, lo long, span int, anchor long, content binary")
+
+
+def _split(strings: DataFrame, k: int) -> DataFrame:
+    """The cells of ``strings`` cut anew by the least ``k``-byte substring, each with its bytes, filed under both anchors."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch["bytes"].to_pylist()
+            parts = [cells(raw, k) for raw in held]
+            if not parts:
+                continue
+            row = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+            at, span, anchor, content = (np.concatenate(x) for x in zip(*parts))
+            both = (batch["anchor"].to_numpy()[row].view(np.uint64) * _M1 ^ anchor.view(np.uint64)).view(np.int64)
+            pieces = [held[r][a:b] for r, a, b in zip(row.tolist(), at.tolist(), (at + span + LENGTH).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc"].take(pa.array(row)), pa.array(batch["lo"].to_numpy()[row] + at), pa.array(span.astype(np.int32)), pa.array(both),
+                 _binary(content), pa.array(pieces, pa.binary())], names=["doc", "lo", "span", "anchor", "content", "bytes"])
+
+    kind = strings.schema["doc"].dataType.simpleString()
+    return strings.select("doc", "lo", "anchor", "bytes").mapInArrow(
+        run, f"doc {kind}, lo long, span int, anchor long, content binary, bytes binary")
 
 
 def _texts_of(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -238,35 +274,47 @@ def _texts_of(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(docs), "doc", "left_semi")
 
 
+def _told_apart(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of stored cells, the ranges (doc, lo, hi) of those that equal an earlier one, and the first of each set of equal
+    cells where others share the anchor, with the number of such sets (``n_cells``) and all other columns."""
+    place = F.struct(*(c for c in found.columns if c not in ("anchor", "content")))  # doc and lo come first
+    classes = stored(found.groupBy("anchor", "content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")))
+    several = classes.where("n > 1").select("anchor", "content", F.struct("first.doc", "first.lo").alias("first"))
+    whole = found.join(several, ["anchor", "content"]).where(F.struct("doc", "lo") != F.col("first")).select(
+        "doc", "lo", (F.col("lo") + F.col("span") + LENGTH).alias("hi"))
+    crowd = stored(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_cells")).where("n_cells > 1"))
+    return whole, stored(classes.join(crowd, "anchor").select("anchor", "n_cells", "first.*"))
+
+
 def covered(rows: DataFrame) -> DataFrame:
     """(doc, lo, hi): byte ranges that strings which also start earlier cover; ranges of a document may overlap."""
     # Both counts are written before they are joined, so that a hot anchor's side of the join can be split.
     common = stored(_anchors(rows).groupBy("anchor").count().where("count > 1").select("anchor"))
-    shared = stored(_cells(rows).join(common, "anchor", "left_semi"))
-    classes = stored(shared.groupBy("anchor", "content").agg(
-        F.min(F.struct("doc", "lo", "span")).alias("first"), F.count(F.lit(1)).alias("n")))
-    first = shared.join(classes.where("n > 1").select("anchor", "content", "first"), ["anchor", "content"])
-    whole = first.where(F.struct("doc", "lo", "span") != F.col("first")).select("doc", "lo", (F.col("lo") + F.col("span") + LENGTH).alias("hi"))
-
-    crowd = stored(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_cells")).where("n_cells > 1"))
-    open_cells = stored(classes.join(crowd, "anchor").select("anchor", "n_cells", "first.*"))
+    whole, open_cells = _told_apart(stored(_cells(rows).join(common, "anchor", "left_semi").select("doc", "lo", "span", "anchor", "content")))
     lists = open_cells.groupBy("doc").agg(F.collect_list(F.struct("anchor", "n_cells", "lo", "span")).alias("cells"))
     texts = _texts_of(rows.select("doc", "raw").dropDuplicates(["doc"]) if _is_struct(rows) else rows.select("doc", "raw"), open_cells.select("doc").distinct())
-    strings = texts.join(lists, "doc").select("doc", F.explode(F.transform("cells", lambda c: F.struct(
+    strings = stored(texts.join(lists, "doc").select("doc", F.explode(F.transform("cells", lambda c: F.struct(
         c["anchor"].alias("anchor"), c["n_cells"].alias("n_cells"), c["lo"].alias("lo"), c["span"].alias("span"),
-        F.substring("raw", (c["lo"] + 1).cast("int"), c["span"] + LENGTH).alias("bytes")))).alias("c")).select("doc", "c.*")
-    strings = stored(strings)
-    buckets = max(1, -(-open_cells.count() // BUCKET_CELLS))
-    return whole.unionByName(_by_suffix(strings.where(F.col("n_cells") <= HOT_CELLS), buckets)).unionByName(
-        _by_hash(strings.where(F.col("n_cells") > HOT_CELLS)))
+        F.substring("raw", (c["lo"] + 1).cast("int"), c["span"] + LENGTH).alias("bytes")))).alias("c")).select("doc", "c.*"))
+    ranges = whole
+    for k in LONGER:
+        hot = strings.where(F.col("n_cells") > HOT_CELLS)
+        if not hot.limit(1).count():
+            break
+        ranges = ranges.unionByName(_by_suffix(strings.where(F.col("n_cells") <= HOT_CELLS)))
+        whole, strings = _told_apart(stored(_split(hot, k)))
+        ranges = ranges.unionByName(whole)
+    return ranges.unionByName(_by_suffix(strings))
 
 
 def _is_struct(rows: DataFrame) -> bool:
     return rows.schema["doc"].dataType.typeName() == "struct"
 
 
-def _by_suffix(strings: DataFrame, buckets: int) -> DataFrame:
+def _by_suffix(strings: DataFrame) -> DataFrame:
     """Covered ranges from merged transforms, a bucket of anchors at a time."""
+    buckets = max(1, -(-strings.count() // BUCKET_CELLS))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
@@ -296,14 +344,6 @@ def _by_suffix(strings: DataFrame, buckets: int) -> DataFrame:
     return dealt.select("bucket", "doc", "lo", "span", "bytes").mapInArrow(run, f"doc {kind}, lo long, hi long")
 
 
-def _by_hash(strings: DataFrame) -> DataFrame:
-    """The same for anchors with too many cells for one task: each string of LENGTH bytes goes by its own hash."""
-    each = strings.select("doc", F.posexplode(F.transform(F.sequence(F.lit(0), "span"), lambda i: F.unhex(F.md5(
-        F.substring("bytes", i + 1, F.lit(LENGTH)))))).alias("place", "string"), "lo").withColumn("lo", F.col("lo") + F.col("place"))
-    first = each.groupBy("string").agg(F.min(F.struct("doc", "lo")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return each.join(first, "string").where(F.struct("doc", "lo") != F.col("first")).select("doc", "lo", (F.col("lo") + LENGTH).alias("hi"))
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and ``kept`` (binary).
 
