@@ -46,8 +46,8 @@ def test_components_equal_brute_force(spark):
     assert {r.component_id for r in got if r.fingerprint == "0" * 16} == {3}
 
 
-@pytest.mark.parametrize("radius", [0, 1, 2, 3])
-def test_links_join_all_pairs_within_the_radius(spark, radius):
+@pytest.mark.parametrize("radius, most", [(0, 4096), (1, 4096), (2, 4096), (3, 4096), (1, 3), (2, 3), (2, 30), (3, 10)])
+def test_links_join_all_pairs_within_the_radius(spark, radius, most):
     chance = random.Random(radius)
     values = set()
     for _ in range(25):
@@ -55,14 +55,30 @@ def test_links_join_all_pairs_within_the_radius(spark, radius):
         for _ in range(12):
             centre ^= 1 << chance.randrange(64) if chance.random() < 0.8 else 0b11 << chance.randrange(60)
             values.add(centre)
+    if most < 4096:  # many fingerprints that share most of their blocks
+        values |= {centre ^ chance.getrandbits(9) << 20 for _ in range(150)}
     signed = {v: v - (1 << 64) if v >> 63 else v for v in values}
-    found = simhash.links(spark.createDataFrame([(v,) for v in signed.values()], "fp long"), radius)
+    found = simhash.links(spark.createDataFrame([(v,) for v in signed.values()], "fp long"), radius, most)
     roots = {r.node: r.root for r in graph.components(found).collect()}
     groups = lambda of: sorted(sorted(v for v in values if of(v) == k) for k in {of(v) for v in values})
     expected = classes(values, radius)
     assert groups(lambda v: roots.get(signed[v], signed[v])) == groups(expected.get)
 
 
+def test_finer_masks_keep_pairs_within_the_radius_together_and_end():
+    for radius in (1, 2, 3):
+        masks, rounds = simhash._finer(0, radius, simhash.AGREE), 0
+        while any(64 - m.bit_count() > radius for m in masks):
+            mask = min(masks, key=int.bit_count)
+            free = [k for k in range(64) if not mask >> k & 1]
+            masks, rounds = simhash._finer(mask, radius, 2), rounds + 1
+            assert all(m & mask == mask and m != mask for m in masks)
+            for _ in range(200):
+                other = sum(1 << k for k in random.Random(rounds).sample(free, min(radius, len(free))))
+                assert any(not other & m for m in masks)
+        assert rounds < 8
+
+
 def test_tree_search_finds_all_within_the_radius():
     chance, tree, values = random.Random(1), simhash.BKTree(), []
     for _ in range(400):

@@ -5,7 +5,8 @@ in one: with the 64 bits cut into blocks, two fingerprints that differ in r bits
 agree on all but r blocks. Each shard grows a tree whose children are keyed by
 their Hamming distance to the parent, and a search follows only the edges
 within the radius. Trees travel by shuffle, not by broadcast: together they
-grow with the data.
+grow with the data. A shard with more values than one task should hold is split
+in the same way by the bits that its members need not agree on.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from tidemark.llm.text import free_name, text_key
 SEED = 42
 #: Blocks beyond the radius that a shard's fingerprints agree on; 4 leave about 21 free bits.
 AGREE = 4
+#: Fingerprints that one tree holds; a shard with more is dealt to finer ones, on 2 blocks more than the radius of its free bits.
+SHARD_VALUES = 4096
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -108,52 +111,109 @@ def _shard_links(values: list[int], radius: int) -> Iterator[tuple[int, int]]:
             yield value, root
 
 
-def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
-    """Links (a, b) between fingerprints (column ``fp``) whose components are those of all pairs within ``radius``."""
-    blocks = radius + AGREE
-    edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
-    masks = []
-    for free in combinations(range(blocks), radius):
-        mask = (1 << 64) - 1
-        for i in free:
-            mask ^= (1 << edges[i + 1]) - (1 << edges[i])
-        masks.append(mask - (1 << 64) if mask >> 63 else mask)
-    shards = distinct.select("fp", F.explode(F.array(*(
-        F.struct(F.lit(i).alias("family"), F.col("fp").bitwiseAND(F.lit(m)).alias("shared")) for i, m in enumerate(masks)))).alias("shard"))
-    dealt = shards.select("shard.family", "shard.shared", "fp").repartition("family", "shared").sortWithinPartitions("family", "shared", "fp")
+def _finer(mask: int, radius: int, agree: int) -> list[int]:
+    """Masks of the bits that shards agree on: those of ``mask``, and all but ``radius`` of the blocks that the others are cut into."""
+    free = [k for k in range(64) if not mask >> k & 1]
+    blocks = radius + agree
+    edges = [round(i * len(free) / blocks) for i in range(blocks + 1)]
+    parts = [sum(1 << k for k in free[a:b]) for a, b in zip(edges, edges[1:])]
+    return sorted({(1 << 64) - 1 - sum(chosen) for chosen in combinations(parts, radius)})
 
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+class _Shards:
+    """Links of shards whose values arrive in order; values of shards with more than ``most`` are handed on instead.
+
+    Values that agree on all but ``radius`` bits cannot be split further; they are 2 ** radius at most.
+    """
+
+    def __init__(self, radius: int, most: int):
+        self.radius, self.most = radius, most
+        self.key, self.values, self.wide = None, np.zeros(0, np.int64), False
+        self.found: list[tuple[int, int]] = []
+        self.handed: list[tuple[int, np.ndarray]] = []
+
+    def too_many(self, mask: int, n: int) -> bool:
+        return n > self.most and 64 - (mask % (1 << 64)).bit_count() > self.radius
+
+    def whole(self, mask: int, values: np.ndarray) -> None:
+        if self.too_many(mask, len(values)):
+            self.handed.append((mask, values))
+        elif len(values) > 1:
+            self.found += _shard_links(values.view(np.uint64).tolist(), self.radius)
+
+    def more(self, key: tuple[int, int], values: np.ndarray) -> None:
+        """Values of a shard that may go on after them."""
+        if key != self.key:
+            self.close()
+            self.key = key
+        self.values = np.concatenate([self.values, values])
+        if self.wide or self.too_many(key[0], len(self.values)):
+            self.handed.append((key[0], self.values))
+            self.values, self.wide = self.values[:0], True
+
+    def close(self) -> None:
+        if self.key is not None and len(self.values):
+            self.whole(self.key[0], self.values)
+        self.key, self.values, self.wide = None, self.values[:0], False
+
+    def given(self) -> Iterator[pa.RecordBatch]:
+        if self.found:
+            pairs = np.array(self.found, dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.int64())], names=["a", "b", "mask"])
+        for mask, values in self.handed:
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.nulls(len(values), pa.int64()), pa.array(np.full(len(values), mask))], names=["a", "b", "mask"])
+        self.found, self.handed = [], []
+
+
+def _searched(dealt: DataFrame, radius: int, most: int) -> DataFrame:
+    """(a, b, mask): links (mask null) from (mask, fp) rows, and the rows (fp as ``a``) of shards with over ``most`` values."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple | None = None
-        for batch in _then_none(batches):
-            found: list[tuple[int, int]] = []
-            if batch is None:
-                if held is not None and len(held[1]) > 1:
-                    found += _shard_links(held[1], radius)
-            elif batch.num_rows:
-                family, shared, fp = (batch[n].to_numpy() for n in ("family", "shared", "fp"))
-                cuts = np.flatnonzero((family[1:] != family[:-1]) | (shared[1:] != shared[:-1])) + 1
-                starts, stops = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(fp)]))
-                if held is not None and held[0] == (int(family[0]), int(shared[0])):
-                    held[1].extend(fp[:stops[0]].view(np.uint64).tolist())
-                    starts, stops = starts[1:], stops[1:]
-                if len(starts):
-                    if held is not None and len(held[1]) > 1:
-                        found += _shard_links(held[1], radius)
-                    several = np.flatnonzero(stops[:-1] - starts[:-1] > 1)
-                    for i in several.tolist():
-                        found += _shard_links(fp[starts[i]:stops[i]].view(np.uint64).tolist(), radius)
-                    last = starts[-1]
-                    held = ((int(family[last]), int(shared[last])), fp[last:].view(np.uint64).tolist())
-            if found:
-                pairs = np.array(found, dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    return dealt.mapInArrow(run, "a long, b long")
-
-
-def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
+        shards = _Shards(radius, most)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            mask, shared, fp = (batch[n].to_numpy() for n in ("mask", "shared", "fp"))
+            cuts = np.flatnonzero((mask[1:] != mask[:-1]) | (shared[1:] != shared[:-1])) + 1
+            starts, stops = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(fp)]))
+            key = lambda at: (int(mask[at]), int(shared[at]))  # noqa: E731, B023
+            shards.more(key(0), fp[:stops[0]])
+            if len(starts) > 1:
+                inner = np.flatnonzero(stops[1:-1] - starts[1:-1] > 1) + 1
+                for i in inner.tolist():
+                    shards.whole(int(mask[starts[i]]), fp[starts[i]:stops[i]])
+                shards.more(key(starts[-1]), fp[starts[-1]:])
+            yield from shards.given()
+        shards.close()
+        yield from shards.given()
+
+    rows = dealt.withColumn("shared", F.col("fp").bitwiseAND(F.col("mask")))
+    rows = rows.select("mask", "shared", "fp").repartition("mask", "shared").sortWithinPartitions("mask", "shared", "fp")
+    return rows.mapInArrow(run, "a long, b long, mask long")
+
+
+def links(distinct: DataFrame, radius: int = 2, most: int = SHARD_VALUES) -> DataFrame:
+    """Links (a, b) between different fingerprints (column ``fp``) whose components are those of all pairs within ``radius``.
+
+    No tree holds more than ``most`` fingerprints, but for those that agree on all but ``radius`` bits.
+    """
+    masks = _finer(0, radius, AGREE)
+    dealt = distinct.select("fp", F.explode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("mask"))
+    found = None
+    while True:
+        out = stored(_searched(dealt, radius, most))
+        part = out.where("mask IS NULL").select("a", "b")
+        found = part if found is None else found.unionByName(part)
+        wide = out.where("mask IS NOT NULL")
+        kinds = [r.mask for r in wide.select("mask").distinct().collect()]  # as many as there are masks, at most
+        if not kinds:
+            return found
+        finer = [(F.lit(m), F.array(*(F.lit(_signed(n)) for n in _finer(m % (1 << 64), radius, 2)))) for m in kinds]
+        dealt = wide.select(F.col("a").alias("fp"), F.explode(F.element_at(
+            F.create_map(*(x for pair in finer for x in pair)), F.col("mask"))).alias("mask")).distinct()
 
 
 def _classes(prints: DataFrame, radius: int) -> DataFrame:
