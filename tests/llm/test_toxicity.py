@@ -1,3 +1,6 @@
+import math
+import random
+import re
 import zlib
 
 import pytest
@@ -107,3 +110,60 @@ def test_many_words_and_long_stems_are_learnt(spark):
     fresh = documents(spark, [(1, " ".join([prose(5000, 10), stem + "qq", *words[::100], prose(5001, 5)])), (2, prose(5002, 20))])
     got = {r.doc_id: r.score for r in toxicity.scored(fresh, model).collect()}
     assert got[1] > 0.5 > got[2]
+
+
+def brute_score(model, text):
+    """The score from the model's entries and weights by whole tables of edit distances and every pair of hits."""
+    entries = [(w, w, False) for w in model.words] + [(s, s, True) for s in model.stems]
+
+    def nearest(word):
+        near = []
+        for entry, letters, stem in entries:
+            far = min(distance(word[:n], letters) for n in range(len(word) + 1)) if stem else distance(word, letters)
+            if far == 0 or far == 1 and len(entry) >= 5 and entry not in model.exact:
+                near.append((far, entry))
+        return min(near, default=None)
+
+    def evidence(chunk):
+        best = (0.0, 0)
+        for word in re.findall(r"[^\W_]+", chunk.lower()):
+            near = nearest(word)
+            if near and (near[0] == 0 or word not in model.clean):
+                best = max(best, ({**model.stems, **model.words}[near[1]], near[0]))
+        return best
+
+    opening, closing = set("\"'“”„«»‘‚‹"), set("\"'“”»«’‘›")
+    chunks = (text or "").split()
+    begins = [c[0] in opening for c in chunks]
+    ends = [bool(c.rstrip(".,;:!?")) and c.rstrip(".,;:!?")[-1] in closing for c in chunks]
+
+    def quoted(i):
+        before = [k for k in range(max(0, i - 5), i + 1) if begins[k] or ends[k]]
+        after = [k for k in range(i, min(len(chunks), i + 6)) if begins[k] or ends[k]]
+        return bool(before and after) and begins[before[-1]] and ends[after[0]]
+
+    hits = [(i, *e) for i, c in enumerate(chunks) if (e := evidence(c))[0]]
+    plain = sum(w for i, w, edits in hits if not edits and not quoted(i))
+    misspelt = sum(w for i, w, edits in hits if edits and not quoted(i))
+    inside = sum(w for i, w, _ in hits if quoted(i))
+    company = [sum(w for j, w, _ in hits if i - 10 <= j < i) for i, *_ in hits if not quoted(i)]
+    x = [1.0, *(math.log1p(v) for v in (plain, misspelt, inside, max(company, default=0.0), 100 * (plain + misspelt + inside) / max(len(chunks), 1)))]
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, math.fsum(a * b for a, b in zip(model.weights, x, strict=True))))))
+
+
+def test_scores_equal_brute_force(spark):
+    model = toxicity.Model(
+        {"stupid": 2.5, "scum": 1.25, "idiot": 3.0, "worthless": 0.75, "grobbel": 1.5}, {"loweis": 2.0, "grub": 1.0},
+        frozenset({"idiom", "stupor"}), frozenset({"worthless"}), [-3.0, 1.5, 1.25, -0.5, 0.75, 0.4])
+    chance = random.Random(4)
+    pool = ["stupid", "Stupid,", "stupld", "scum", "scun", "idiot!", "idiom", "idiots", "worthles", "worthless", "loweisch", "loweischer", "lowies", "grubxy", "grupxy",
+            "grobel", "stupor", "“idiot”", "\"scum", "stupid\"", "„loweisch“", "'", "«", "gone»,", "stupid-idiot", "scum_grub", "...", "É", "alpha", "beta", "gamma"]
+    rows = [(i, " ".join(chance.choice(pool) if chance.random() < share else chance.choice(("alpha", "beta", "der", "la")) for _ in range(chance.randrange(40))))
+            for i, share in enumerate([0.05, 0.2, 0.6] * 60)]
+    rows += [(900, None), (901, ""), (902, " \n "), (903, "idiot " * 3000), (904, "stupid"), (905, "“stupid”"), (905, "“stupid”")]
+    got = sorted((r.doc_id, r.text or "", r.score) for r in toxicity.scored(documents(spark, rows), model).collect())
+    want = sorted((i, t or "", brute_score(model, t) if i != 903 else None) for i, t in rows)
+    assert len(got) == len(want) and len({round(s, 9) for *_, s in got}) > 60
+    for (i, t, s), (j, u, w) in zip(got, want, strict=True):
+        assert (i, t) == (j, u)
+        assert w is None and s > 0.99 or w is not None and abs(s - w) < 1e-9, (i, t, s, w)

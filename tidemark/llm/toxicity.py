@@ -37,7 +37,7 @@ WINDOW = 5
 #: Words whose matches a Python worker keeps; bounds memory, never changes scores.
 CACHE_WORDS = 400_000
 #: Quotation marks (fixed values).
-OPENING, CLOSING = "\"'“”„«»‘‚‹", "\"'“”»«’‘›"
+OPENING, CLOSING = frozenset("\"'“”„«»‘‚‹"), frozenset("\"'“”»«’‘›")
 
 _WORD = re.compile(r"[^\W_]+")
 _JAVA_WORD = "[\\p{L}\\p{N}]+"
