@@ -3,11 +3,13 @@ import os
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tests.conftest import rows
 from tidemark.operators import churn, priority
+from tidemark.operators.forest import forest_probability
 from tidemark.operators.imputer import ExactImputer, ExactImputerModel
 from tidemark.plans import models as plans
 from tidemark.plans.tables import Tables, churn_customers
@@ -109,3 +111,24 @@ def test_forest_travels_as_one_row_and_customers_stay(spark):
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" in plan and "Python" not in plan
     assert priority.risk_tier(scored).count() == t.customer.count()
+
+
+def test_flat_forest_walks_both_kinds_of_split(spark):
+    nodes = spark.createDataFrame([
+        (7, 0, 1, 4, 0, [0.5], -1, [5.0, 5.0]), (7, 1, 2, 3, 1, [2.0, 0.0], 3, [1.0, 1.0]), (7, 2, -1, -1, -1, [], -1, [3.0, 1.0]),
+        (7, 3, -1, -1, -1, [], -1, [1.0, 1.0]), (7, 4, -1, -1, -1, [], -1, [0.0, 4.0]), (9, 0, -1, -1, -1, [], -1, [1.0, 3.0])],
+        "tree INT, node INT, left INT, right INT, feature INT, cuts ARRAY<DOUBLE>, categories INT, stats ARRAY<DOUBLE>")
+    data = [("a", Vectors.dense(0.5, 2.0)), ("b", Vectors.dense(0.5, 1.0)), ("c", Vectors.dense(0.6, 0.0)), ("d", Vectors.dense(float("nan"), 0.0))]
+    scored = forest_probability(spark.createDataFrame(data, ["id", "features"]), nodes, 3)
+    assert scored.columns == ["id", "features", "probability"]
+    assert dict(rows(scored, "id", "probability")) == {"a": 0.5, "b": 0.625, "c": 0.875, "d": 0.875}
+
+
+@needs_tables
+def test_trees_are_walked_once_however_scores_are_used(spark):
+    for name in ("fit_churn_score", "evaluate_churn"):
+        plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" not in plan and "aggregate(" not in plan
+    path = plans._saved_model(t := Tables(spark, FOLDER))
+    scored = churn.score_by_nodes(models.load_model(path), models.read_forest(spark, path), churn_customers(t))
+    assert scored.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

@@ -21,6 +21,12 @@ NUMERIC = ("senior", "tenure_months", "monthly_charges", "total_charges", "num_s
 CATEGORY = ("gender", "contract", "payment_method")
 
 
+def _spread(df: DataFrame) -> int:
+    """Partitions for work that is bound by CPU, however few files its rows come from."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def fit_churn(
     train: DataFrame,
     numeric: Sequence[str] = NUMERIC,
@@ -34,9 +40,7 @@ def fit_churn(
     Fitting reads the training rows many times and is bound by CPU, so they are
     written once, spread over all cores, with only the columns that are used.
     """
-    spark = train.sparkSession
-    spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    train = stored(train.select(*numeric, *category, label).repartition(spread))
+    train = stored(train.select(*numeric, *category, label).repartition(_spread(train)))
     filled = [f"{c}_filled" for c in numeric]
     index, flags = [f"{c}_index" for c in category], [f"{c}_flags" for c in category]
     return Pipeline(stages=[
@@ -63,8 +67,11 @@ def score(model: PipelineModel, customers: DataFrame) -> DataFrame:
 
 
 def score_by_nodes(model: PipelineModel, nodes: DataFrame, customers: DataFrame) -> DataFrame:
-    """Like ``score``, with the forest's part done on its table of nodes."""
-    featured = PipelineModel(model.stages[:-1]).transform(customers)
+    """Like ``score``, with the forest's part done on its table of nodes.
+
+    Customers are dealt evenly first: a small file is one task, and walking all trees is bound by CPU.
+    """
+    featured = PipelineModel(model.stages[:-1]).transform(customers.repartition(_spread(customers)))
     depth = model.stages[-1].getMaxDepth()
     return forest_probability(featured, nodes, depth).select(
         *customers.columns, F.round("probability", 3).alias("probability"))

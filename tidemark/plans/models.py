@@ -38,8 +38,9 @@ def _saved_model(t: Tables) -> str:
 
 
 def _scored(t: Tables, customers: DataFrame) -> DataFrame:
+    """Written once: sorting by what follows from a score reads its rows twice, and each read would walk all trees."""
     path = _saved_model(t)
-    return churn.score_by_nodes(load_model(path), read_forest(t.spark, path), customers)
+    return stored(churn.score_by_nodes(load_model(path), read_forest(t.spark, path), customers))
 
 
 @query("fit_churn_score")
@@ -96,7 +97,7 @@ def churn_auc_checks(t: Tables) -> DataFrame:
     """The held-out ROC-AUC against the share of rightly ordered pairs counted per score."""
     customers = churn_customers(t)
     train, test = churn.hold_out(customers, "customer_id")
-    scored = stored(_scored(t, test).select("probability", "churn"))
+    scored = _scored(t, test)
     auc = roc_auc(scored, "probability", "churn")
     # Scores have three places, so there are at most 1,001 of them to order.
     per_score = scored.groupBy("probability").agg(F.sum("churn").alias("bad"), F.sum(1 - F.col("churn")).alias("good"))
