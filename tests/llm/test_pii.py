@@ -105,6 +105,22 @@ def test_nothing_is_added_inside_a_base_span(spark):
         assert not any(b.start <= s.start and s.end <= b.end for s in r.spans if not s.base for b in base)
 
 
+def test_trees_and_thresholds_see_every_match(spark, monkeypatch):
+    rows = [(i, " ".join(f"+1 555 {i:05}{n:03} x +7 {n:03}," for n in range(100))) for i in range(500)]
+    seen, judged = [], pii._judged
+
+    def spied(vectors, matches, *settings):
+        seen.append(matches.groupBy("label").agg({"n": "sum"}).collect())
+        return judged(vectors, matches, *settings)
+
+    monkeypatch.setattr(pii, "_judged", spied)
+    spans = pii.stored(pii.candidates(documents(spark, rows)))
+    pii.accepted(spans)
+    phones = spans.where("generator = 'phone'").groupBy("base").count().collect()
+    assert {float(r["base"]): r["count"] for r in phones} == {0.0: 50_000, 1.0: 50_000}
+    assert {r[0]: r[1] for r in seen[-1]} == {0.0: 50_000, 1.0: 50_000}
+
+
 def test_redaction_replaces_every_span(spark):
     rows = [(1, "x a@b.cd y 4111 1111 1111 1111 z"), (2, None), (3, ""), (4, "no data"), (5, "+49 30 1234567, é1.2.3.4"), (6, "1.2.3.4"), (6, "1.2.3.4"), (7, prose(1, 20_000))]
     docs = documents(spark, rows)

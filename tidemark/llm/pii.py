@@ -23,9 +23,6 @@ from tidemark.functions.session import stored
 from tidemark.llm.text import free_name, text_key
 
 KINDS = ("email", "ip", "card", "phone")
-#: Base-pattern matches that all trees are fitted on, and as many again for the thresholds, in about equal parts for each kind
-#: and label: a share by hash. A bound on training only.
-FIT_ROWS = 20_000
 #: Characters of context on either side of a candidate.
 CONTEXT = 24
 #: Share of a kind's held-out base-pattern matches above its threshold that must meet the full rule.
@@ -152,13 +149,14 @@ def features(spans: DataFrame) -> DataFrame:
     return spans.withColumns({name: column.cast("double") for name, column in columns.items()})
 
 
-def accepted(spans: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PRECISION, seed: int = 7) -> DataFrame:
+def accepted(spans: DataFrame, precision: float = PRECISION, seed: int = 7) -> DataFrame:
     """Base spans, and looser forms that the trees accept: (key, kind, start, end, base, probability).
 
     Labels come from base patterns alone: a match that meets its kind's rule is personal, one that fails it is
-    not and is never added. Each kind has its own trees and threshold. The trees are fitted on about
-    ``fit_rows / len(KINDS)`` matches and the threshold on as many others, half of either label, chosen by hash
-    of text and place. The threshold lies midway between the least probability above which the share of base
+    not and is never added. Each kind has its own trees and threshold. The trees are fitted on half of all matches
+    and the threshold on the other half, parted by hash of text and place; in the fit either label weighs the same in
+    total. Matches with the same features are one row with their number, so what is fitted on grows no faster than
+    different features do. The threshold lies midway between the least probability above which the share of base
     spans, counted for the whole table, is ``precision`` and the next one below it. A kind none of whose matches
     fail, such as email, has nothing to tell its looser forms from: all that ``may_be`` are added. A kind without
     base spans, or with too few matches for both parts, gets none.
@@ -172,15 +170,13 @@ def accepted(spans: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PREC
     unfailed = [k for k in judged if not counts.get((k, 0.0))]
     extra = loose.where(F.col("kind").isin(unfailed)).withColumn("p", F.lit(1.0)).select("key", "kind", "start", "end", "base", "p")
     if learnt := [k for k in judged if k not in unfailed]:
-        most = max(1, fit_rows // len(KINDS))
-        rate = F.coalesce(*(F.when((F.col("kind") == k) & (F.col("label") == y), F.lit(min(1.0, most / n))) for (k, y), n in counts.items()))
         columns = VectorAssembler(inputCols=list(FEATURES), outputCol="vector")
-        picked = marked.where(F.col("kind").isin(learnt)).withColumn("rate", rate).where(F.pmod("_order", F.lit(1 << 30)) < F.col("rate") * (1 << 30))
-        sample = stored(columns.transform(features(picked)).select(
-            "kind", "vector", "label", "rate", (F.pmod(F.xxhash64("_order"), F.lit(2)) == 1).alias("held")))
+        held = (F.pmod(F.xxhash64("_order"), F.lit(2)) == 1).alias("held")
+        seen = stored(columns.transform(features(marked.where(F.col("kind").isin(learnt))).groupBy("kind", "label", held, *FEATURES).agg(
+            F.count(F.lit(1)).alias("n"))).select("kind", "label", "held", "vector", "n"))
         vectors = columns.transform(features(loose))
         for kind in learnt:
-            found = _judged(vectors.where(F.col("kind") == kind), sample.where(F.col("kind") == kind), precision, seed)
+            found = _judged(vectors.where(F.col("kind") == kind), seen.where(F.col("kind") == kind), precision, seed)
             extra = extra if found is None else extra.unionByName(found.select(*extra.columns))
     # One span a place and kind.
     extra = extra.groupBy("key", "kind", "start", "end").agg(F.first("base").alias("base"), F.max("p").alias("probability"))
@@ -191,14 +187,17 @@ def accepted(spans: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PREC
         F.col("base") | F.col("_covered").isNull() | (F.col("_covered") < F.col("end"))).drop("_covered")
 
 
-def _judged(vectors: DataFrame, sample: DataFrame, precision: float, seed: int) -> DataFrame | None:
-    """``vectors`` that trees fitted on one part of a kind's ``sample`` accept, with probability ``p``; None if a part lacks labels."""
-    if sample.where("not held").select("label").distinct().count() < 2:
+def _judged(vectors: DataFrame, seen: DataFrame, precision: float, seed: int) -> DataFrame | None:
+    """``vectors`` that trees fitted on one part of the matches ``seen`` of a kind accept, with probability ``p``; None if a part lacks labels."""
+    totals = {r.label: r.n for r in seen.where("not held").groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    if len(totals) < 2:
         return None
-    model = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=12, maxDepth=4, stepSize=0.3, seed=seed).fit(sample.where("not held"))
+    weight = F.col("n") * F.when(F.col("label") == 1, min(1.0, totals[0.0] / totals[1.0])).otherwise(min(1.0, totals[1.0] / totals[0.0]))
+    model = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=12, maxDepth=4, stepSize=0.3, seed=seed).fit(
+        seen.where("not held").withColumn("weight", weight))
     chance = F.round(vector_to_array("probability")[1], 3)
-    tried = model.transform(sample.where("held")).select(chance.alias("p"), "label", (1 / F.col("rate")).alias("weight")).groupBy("p").agg(
-        F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("all"))
+    tried = model.transform(seen.where("held")).select(chance.alias("p"), "label", "n").groupBy("p").agg(
+        F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("all"))
     above = Window.orderBy(F.desc("p"))  # at most a thousand rounded probabilities
     shares = tried.select("p", "good", (F.sum("good").over(above) / F.sum("all").over(above)).alias("share"),
                           F.coalesce(F.lead("p").over(above), F.lit(0.0)).alias("next"))
