@@ -167,3 +167,16 @@ def test_scores_equal_brute_force(spark):
     for (i, t, s), (j, u, w) in zip(got, want, strict=True):
         assert (i, t) == (j, u)
         assert w is None and s > 0.99 or w is not None and abs(s - w) < 1e-9, (i, t, s, w)
+
+
+def test_all_labelled_documents_are_learnt_from(spark, monkeypatch):
+    used, fit = [], toxicity.fit_weights
+
+    def spied(seen):
+        used.append(seen.groupBy("toxic").agg({"n": "sum"}).collect())
+        return fit(seen)
+
+    monkeypatch.setattr(toxicity, "fit_weights", spied)
+    docs = spark.range(20_400).selectExpr("id AS doc_id", "if(id % 4 = 0, concat('you badword', id % 50), concat('a fine day ', id % 70)) AS text")
+    toxicity.learn(docs, docs.selectExpr("doc_id", "if(doc_id % 4 = 0, 1, 0) AS toxic"))
+    assert {r[0]: r[1] for r in used[0]} == {0: 15_300, 1: 5_100}

@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.session import stored
 from tidemark.llm.text import free_name
 
-#: Labelled documents that the model is fitted on at most: the smallest by hash. A bound on training only.
-FIT_ROWS = 20_000
 #: Letters up to which every word's prefixes may become stems; longer stems come from words that share so many.
 HEAD_LETTERS = 24
 #: Letters of the shortest stem, words that must share one, and letters of the shortest word matched with an edit.
@@ -200,17 +198,16 @@ def _evidence(used: DataFrame) -> DataFrame:
         F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, seed: int = 11) -> Model:
-    """A model from labelled documents (``toxic`` 0 or 1; null labels are left out).
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from all labelled documents (``toxic`` 0 or 1; null labels are left out).
 
     Evidence for a word is the number of different pairs of neighbours it has in toxic and in clean
     documents, one of each document, so that neither copies of one document nor one long document add up. Without both kinds of label the lexicon is
     empty and every text scores the share of toxic labels.
     """
     given = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = given.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(fit_rows)
-    sample = stored(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id"))
-    count = sample.agg(F.count(F.lit(1)), F.sum("toxic")).first()
+    known = stored(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(given, "doc_id"))
+    count = known.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not count[0] or not count[1] or count[0] == count[1]:
         share = (count[1] or 0) / count[0] if count[0] else 0.0
         prior = math.log((share + 0.001) / (1.001 - share))
@@ -219,7 +216,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, seed: in
     words = F.regexp_extract_all(F.lower("text"), F.lit(_JAVA_WORD), 0)
     placed = F.transform("w", lambda word, i: F.struct(
         word.alias("word"), F.xxhash64(F.when(i > 0, F.col("w")[i - 1]), F.get("w", i + 1)).alias("near")))
-    used = stored(sample.select("doc_id", "toxic", words.alias("w")).select("doc_id", "toxic", F.explode(placed).alias("x")).groupBy(
+    used = stored(known.select("doc_id", "toxic", words.alias("w")).select("doc_id", "toxic", F.explode(placed).alias("x")).groupBy(
         "x.word", "doc_id", "toxic").agg(F.min("x.near").alias("near")))
     terms = stored(_evidence(used))
     totals = terms.agg(F.sum("bad"), F.sum("good"), F.count(F.lit(1))).first()
@@ -233,11 +230,11 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, seed: in
     most = F.when(F.col("deep"), F.length("word") - 1).otherwise(F.least(F.length("word") - 1, F.lit(HEAD_LETTERS)))
     prefixes = F.explode(F.transform(F.sequence(F.lit(STEM_LETTERS), most), lambda n: F.substring("word", F.lit(1), n)))
     stemmed = lambda df: df.where(F.length("word") > STEM_LETTERS).join(
-        F.broadcast(heads), head == F.col("head"), "left")
+        heads, head == F.col("head"), "left")
     maybe = strong(stemmed(terms).select("bad", "good", prefixes.alias("word")).groupBy("word").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= STEM_WORDS))
-    maybe = maybe.select("word")  # the sample bounds them, as it does the words
-    stems = _evidence(stemmed(used).select("doc_id", "toxic", "near", prefixes.alias("word")).join(F.broadcast(maybe), "word").groupBy(
+    maybe = maybe.select("word")
+    stems = _evidence(stemmed(used).select("doc_id", "toxic", "near", prefixes.alias("word")).join(maybe, "word").groupBy(
         "word", "doc_id", "toxic").agg(F.min("near").alias("near")))
     kept = lambda df: {r.word: (r.bad, r.good) for r in strong(df).collect()}
     picked, families = kept(terms), kept(stems)
@@ -255,8 +252,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, seed: in
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64()))], names=["word", "entry", "good"])
 
     close = stored(terms.where("good > 0").select("word", F.col("good").cast("long").alias("good")).mapInArrow(alike, "word string, entry string, good long"))
-    known = picked | families
-    common = {r.entry for r in close.groupBy("entry").agg(F.sum("good").alias("good")).collect() if r.good > CLEAN_SHARE * known[r.entry][0]}
+    entries = picked | families
+    common = {r.entry for r in close.groupBy("entry").agg(F.sum("good").alias("good")).collect() if r.good > CLEAN_SHARE * entries[r.entry][0]}
     clean = {r.word for r in close.where(~F.col("entry").isin(sorted(common))).select("word").collect()}
     model = Model(model.words, model.stems, frozenset(clean), frozenset(common))
 
@@ -265,21 +262,37 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, seed: in
             rows = [list(model.features(t)) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(rows, pa.list_(pa.float64()))], names=["toxic", "x"])
 
-    seen = sample.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(measured, "toxic int, x array<double>").collect()
-    return Model(model.words, model.stems, model.clean, model.exact, fit_weights(np.array([r.x for r in seen]), np.array([float(r.toxic) for r in seen])))
+    seen = known.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(measured, "toxic int, x array<double>")
+    return Model(model.words, model.stems, model.clean, model.exact, fit_weights(stored(seen.groupBy("toxic", "x").agg(F.count(F.lit(1)).alias("n")))))
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 0.5) -> list[float]:
-    """Logistic regression by Newton's method; a misspelling is taken to weigh as much as a word unless the data disagree."""
-    x = np.column_stack([np.ones(len(x)), x])
-    w, pull = np.zeros(x.shape[1]), penalty * np.eye(x.shape[1])
+def fit_weights(seen: DataFrame, size: int = 6, penalty: float = 0.5) -> list[float]:
+    """Logistic regression by Newton's method on (toxic, x, n), ``n`` documents with features ``x``; a misspelling is taken to weigh as
+    much as a word unless the data disagree. Tasks add up their rows' share of each step; only the sums reach the driver."""
+    w, pull = np.zeros(size), penalty * np.eye(size)
     pull[0, 0] = 1e-3
     pull[2, 2] += 4 * penalty
     pull[1, 1] += 4 * penalty
     pull[1, 2] = pull[2, 1] = -4 * penalty
+
+    def sums(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bend, slope = np.zeros((size, size)), np.zeros(size)
+            for batch in batches:
+                if batch.num_rows:
+                    x = np.column_stack([np.ones(batch.num_rows), np.array(batch["x"].to_pylist())])
+                    y, n = (np.array(batch[c].to_pylist(), float) for c in ("toxic", "n"))
+                    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                    bend += (x * (n * p * (1 - p))[:, None]).T @ x
+                    slope += x.T @ (n * (y - p))
+            yield pa.RecordBatch.from_arrays([pa.array([[*bend.ravel(), *slope]], pa.list_(pa.float64()))], names=["s"])
+
+        total = np.array(seen.mapInArrow(added, "s array<double>").agg(*(F.sum(F.get("s", F.lit(i))) for i in range(size * (size + 1)))).first(), float)
+        return total[:size * size].reshape(size, size), total[size * size:]
+
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pull, x.T @ (y - p) - pull @ w)
+        bend, slope = sums(w)
+        step = np.linalg.solve(bend + pull, slope - pull @ w)
         w = w + step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-9))
         if np.abs(step).max() < 1e-8:
             break
