@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.messy import documents, prose
+from tidemark.functions import session
 from tidemark.llm import toxicity
 
 
@@ -180,3 +181,46 @@ def test_all_labelled_documents_are_learnt_from(spark, monkeypatch):
     docs = spark.range(20_400).selectExpr("id AS doc_id", "if(id % 4 = 0, concat('you badword', id % 50), concat('a fine day ', id % 70)) AS text")
     toxicity.learn(docs, docs.selectExpr("doc_id", "if(doc_id % 4 = 0, 1, 0) AS toxic"))
     assert {r[0]: r[1] for r in used[0]} == {0: 15_300, 1: 5_100}
+
+
+def test_every_word_of_a_doc_id_has_its_least_context(spark):
+    rows = [(1, 1, 1, "a b a c"), (2, 0, 2, "a b é"), (2, 0, 2, "x b a b b"), (3, 1, 1, ""), (4, 0, 1, "Solo"), (5, 1, 2, "b b"), (5, 1, 2, "b b")]
+    known = spark.createDataFrame(rows, "doc_id long, toxic int, texts long, text string")
+    near = lambda *words: [r[0] for r in spark.createDataFrame(words, "a string, b string").select(F.xxhash64("a", "b")).collect()]
+    places = {}
+    for doc_id, toxic, _, text in rows:
+        words = text.lower().split()
+        if words:
+            pairs = list(zip([None, *words[:-1]], [*words[1:], None], strict=True))
+            for word, context in zip(words, near(*pairs), strict=True):
+                places.setdefault((doc_id, toxic, word), []).append(context)
+    used = toxicity._used(known)
+    assert sorted(tuple(r) for r in used.select("word", "near", "toxic").collect()) == sorted((w, min(c), t) for (_, t, w), c in places.items())
+    # Documents with one text are not shuffled to tell their words apart.
+    assert toxicity._used(known.where("texts = 1"))._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") <= 1
+
+
+def test_stems_do_not_depend_on_how_they_meet_the_texts(spark, monkeypatch):
+    rows, labels = [], []
+    for i in range(400):
+        body = prose(i, 12).split()
+        if i % 4 == 0:
+            body[3:3] = ["lowex" + "abcdefghij"[i // 4 % 10] * 2, "grobbel"]
+        rows.append((i, " ".join(body)))
+        labels.append((i, int(i % 4 == 0)))
+    docs, marks = documents(spark, [*rows, rows[0], (4, "lowexzz again lowexzz")]), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.learn(docs, marks)
+    assert model.stems
+    monkeypatch.setattr(toxicity, "NAMED_STEMMED", -1)
+    monkeypatch.setattr(toxicity, "BROADCAST_STEMMED", 0)
+    again = toxicity.learn(docs, marks)
+    assert (again.words, again.stems, again.clean, again.exact) == (model.words, model.stems, model.clean, model.exact)
+
+
+def test_learning_leaves_no_tables(spark, tmp_path, monkeypatch):
+    made, fresh = [], session.fresh_dir
+    monkeypatch.setattr(session, "fresh_dir", lambda spark, label: made.append(f"{tmp_path}/{label}-{len(made)}") or made[-1])
+    rows, labels = corpus(80)
+    toxicity.learn(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text int"))
+    assert fresh is not session.fresh_dir and made and not list(tmp_path.iterdir())
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

@@ -54,6 +54,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query inside the block go when it ends, not when the driver happens to
+    collect its garbage. A DataFrame that runs twice shuffles anew."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder from whatever store it is in; a missing one is fine."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -16,11 +16,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.session import stored
-from tidemark.llm.text import free_name
+from tidemark.functions.session import released, scratch, stored
+from tidemark.llm.text import free_name, sized
 
 #: Letters up to which every word's prefixes may become stems; longer stems come from words that share so many.
 HEAD_LETTERS = 24
@@ -34,6 +34,10 @@ CLEAN_SHARE = 0.05
 WINDOW = 5
 #: Words whose matches a Python worker keeps; bounds memory, never changes scores.
 CACHE_WORDS = 400_000
+#: Pairs of a word and a stem up to which the stems' words are sent to the texts' words by broadcast; more are joined by shuffle.
+BROADCAST_STEMMED = 200_000
+#: Words with such a stem up to which they are named in a filter on the texts.
+NAMED_STEMMED = 1_000
 #: Quotation marks (fixed values).
 OPENING, CLOSING = frozenset("\"'“”„«»‘‚‹"), frozenset("\"'“”»«’‘›")
 
@@ -193,11 +197,34 @@ def _significance(toxic: Column, clean: Column, share: float) -> Column:
 
 
 def _evidence(used: DataFrame) -> DataFrame:
-    """(word, bad, good): different contexts in toxic documents only, and in clean ones; one of each document."""
-    return used.groupBy("word", "near").agg(F.min("toxic").alias("toxic")).groupBy("word").agg(
+    """(word, bad, good): different contexts in toxic documents only, and in clean ones; one of each document.
+
+    The least of a struct is found by sorting, so rows leave a task ordered by word and pack better.
+    """
+    return used.groupBy("word", "near").agg(F.min(F.struct("toxic"))["toxic"].alias("toxic")).groupBy("word").agg(
         F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
 
 
+def _worded(docs: DataFrame) -> DataFrame:
+    """``docs`` with the array ``w`` of its words in place of the text."""
+    return docs.withColumn("w", F.regexp_extract_all(F.lower("text"), F.lit(_JAVA_WORD), 0)).drop("text")
+
+
+def _places() -> Column:
+    """(word, near) of every word in ``w``; ``near`` stands for its neighbours."""
+    return F.transform("w", lambda word, i: F.struct(
+        word.alias("word"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("near")))
+
+
+def _used(known: DataFrame) -> DataFrame:
+    """(word, near, toxic): every word of a doc_id once, with its least context. A text's own words are sorted
+    where they are; only a doc_id with several texts (``texts``) is grouped across rows."""
+    first = F.filter("places", lambda place, i: (i == 0) | (place["word"] != F.get("places", i - 1)["word"]))
+    least = lambda df: _worded(df).withColumn("places", F.sort_array(_places())).select("doc_id", "toxic", F.explode(first).alias("x"))
+    several = least(known.where("texts > 1")).groupBy("x.word", "doc_id", "toxic").agg(F.min("x.near").alias("near"))
+    return least(known.where("texts = 1")).select("x.word", "x.near", "toxic").unionByName(several.select("word", "near", "toxic"))
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from all labelled documents (``toxic`` 0 or 1; null labels are left out).
 
@@ -205,20 +232,21 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     documents, one of each document, so that neither copies of one document nor one long document add up. Without both kinds of label the lexicon is
     empty and every text scores the share of toxic labels.
     """
+    with scratch(docs.sparkSession), released(docs.sparkSession):
+        return _learn(docs, labels)
+
+
+def _learn(docs: DataFrame, labels: DataFrame) -> Model:
     given = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = stored(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(given, "doc_id"))
+    known = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(given, "doc_id")
+    known = stored(known.withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("doc_id"))))
     count = known.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not count[0] or not count[1] or count[0] == count[1]:
         share = (count[1] or 0) / count[0] if count[0] else 0.0
         prior = math.log((share + 0.001) / (1.001 - share))
         return Model({}, {}, frozenset(), frozenset(), [prior, 0.0, 0.0, 0.0, 0.0, 0.0])
 
-    words = F.regexp_extract_all(F.lower("text"), F.lit(_JAVA_WORD), 0)
-    placed = F.transform("w", lambda word, i: F.struct(
-        word.alias("word"), F.xxhash64(F.when(i > 0, F.col("w")[i - 1]), F.get("w", i + 1)).alias("near")))
-    used = stored(known.select("doc_id", "toxic", words.alias("w")).select("doc_id", "toxic", F.explode(placed).alias("x")).groupBy(
-        "x.word", "doc_id", "toxic").agg(F.min("x.near").alias("near")))
-    terms = stored(_evidence(used))
+    terms = stored(_evidence(_used(known)))
     totals = terms.agg(F.sum("bad"), F.sum("good"), F.count(F.lit(1))).first()
     share, least = totals[0] / (totals[0] + totals[1]), math.log(totals[2]) + 5
     strong = lambda df: df.withColumn("worth", _significance(F.col("bad"), F.col("good"), share)).where(
@@ -229,13 +257,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
                    .where(F.col("n") >= STEM_WORDS).select("head", F.lit(True).alias("deep")))
     most = F.when(F.col("deep"), F.length("word") - 1).otherwise(F.least(F.length("word") - 1, F.lit(HEAD_LETTERS)))
     prefixes = F.explode(F.transform(F.sequence(F.lit(STEM_LETTERS), most), lambda n: F.substring("word", F.lit(1), n)))
-    stemmed = lambda df: df.where(F.length("word") > STEM_LETTERS).join(
-        heads, head == F.col("head"), "left")
-    maybe = strong(stemmed(terms).select("bad", "good", prefixes.alias("word")).groupBy("word").agg(
-        F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= STEM_WORDS))
-    maybe = maybe.select("word")
-    stems = _evidence(stemmed(used).select("doc_id", "toxic", "near", prefixes.alias("word")).join(maybe, "word").groupBy(
-        "word", "doc_id", "toxic").agg(F.min("near").alias("near")))
+    stemmed = terms.where(F.length("word") > STEM_LETTERS).join(heads, head == F.col("head"), "left")
+    maybe = stored(strong(stemmed.select("bad", "good", prefixes.alias("word")).groupBy("word").agg(
+        F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= STEM_WORDS)).select(F.col("word").alias("stem")))
+    # Only words that have such a stem meet the texts again, so no text's words are multiplied by their prefixes.
+    under = stored(stemmed.select("word", prefixes.alias("stem")).join(sized(maybe, BROADCAST_STEMMED), "stem"))
+    few = [r.word for r in under.select("word").distinct().limit(NAMED_STEMMED + 1).collect()]
+    texts = _worded(known)
+    if len(few) <= NAMED_STEMMED:  # texts without any of them are passed over quickly
+        texts = texts.where(F.exists("w", lambda word: word.isin(few)))
+    stems = _evidence(texts.select("doc_id", "toxic", F.explode(_places()).alias("x")).select("doc_id", "toxic", "x.word", "x.near").join(
+        sized(under, BROADCAST_STEMMED), "word").groupBy(F.col("stem").alias("word"), "doc_id", "toxic").agg(F.min("near").alias("near")))
     kept = lambda df: {r.word: (r.bad, r.good) for r in strong(df).collect()}
     picked, families = kept(terms), kept(stems)
     # The shortest stem stands for its longer ones, and for the words under it.
